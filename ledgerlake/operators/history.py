@@ -164,19 +164,20 @@ def scd2_refused(
     return pairs.where(differs(compare, "old", "new")).select("new.*")
 
 
-def scd2_fold(
-    history: DataFrame,
-    batches: Iterable[tuple[object, DataFrame]],
-    key: str,
-    compare: Sequence[str],
-    cut_every: int = 6,
-) -> DataFrame:
-    """Apply dated snapshots in order; long runs are checkpointed to keep plans short."""
-    for i, (batch_date, snapshot) in enumerate(batches, start=1):
-        history = scd2_apply(history, snapshot, key, compare, batch_date)
-        if i % cut_every == 0:
-            history = history.checkpoint()
-    return history
+def _chained(states: DataFrame, key: str, compare: Sequence[str], date: str) -> DataFrame:
+    """Dated states of each key, one per date, reduced to versions that follow each other.
+
+    A state equal to the one before it starts no version. A key's group is at most as
+    long as the number of dates, so one shuffle by key does it all.
+    """
+    by_date = W.partitionBy(key).orderBy(date)
+    state = F.struct(*compare)
+    starts = F.lag(date).over(by_date).isNull() | ~F.lag(state).over(by_date).eqNullSafe(state)
+    versions = states.withColumn("_starts", starts).where("_starts").drop("_starts")
+    ends = F.date_sub(F.lead(date).over(by_date), 1)
+    return versions.withColumn("valid_to", F.coalesce(ends, forever())).withColumns(
+        {"valid_from": F.col(date), "is_current": F.col("valid_to") == forever()}
+    )
 
 
 def scd2_from_snapshots(
@@ -184,22 +185,36 @@ def scd2_from_snapshots(
 ) -> DataFrame:
     """The history of a whole series of dated snapshots in one pass.
 
-    Needs one row per key and date, so a key's group is never longer than the number
-    of dates. Equals folding the snapshots one by one.
+    Needs one row per key and date. Equals applying the snapshots one by one.
     """
-    by_date = W.partitionBy(key).orderBy(date)
-    state = F.struct(*compare)
-    starts = F.lag(state).over(by_date).isNull() | ~F.lag(state).over(by_date).eqNullSafe(state)
-    versions = (
-        snapshots.where(F.col(key).isNotNull()).withColumn("_starts", starts).where("_starts")
-    )
-    ends = F.date_sub(F.lead(date).over(by_date), 1)
-    return (
-        versions.withColumn("valid_from", F.col(date).cast("date"))
-        .withColumn("valid_to", F.coalesce(ends, forever()))
-        .withColumn("is_current", F.col("valid_to") == forever())
-        .drop("_starts", date)
-    )
+    states = snapshots.where(F.col(key).isNotNull())
+    return _chained(states, key, compare, date).drop(date)
+
+
+def scd2_fold(
+    history: DataFrame,
+    batches: Iterable[tuple[object, DataFrame]],
+    key: str,
+    compare: Sequence[str],
+) -> DataFrame:
+    """History after several dated snapshots, as if ``scd2_apply`` ran for each in turn.
+
+    All batches are chained at once: one shuffle, however many there are. A snapshot
+    row not later than the key's current version is left out, as it would be refused.
+    """
+    dated = sorted(batches, key=lambda batch: str(batch[0]))
+    if len({str(d) for d, _ in dated}) < len(dated):
+        raise ValueError("two batches carry the same date")
+    states = current(history).withColumns({"_date": F.col("valid_from"), "_known": F.lit(True)})
+    for batch_date, snapshot in dated:
+        rows = snapshot.where(F.col(key).isNotNull()).withColumns(
+            {"_date": day(batch_date), "_known": F.lit(False)}
+        )
+        states = states.unionByName(rows, allowMissingColumns=True)
+    since = F.max(F.when(F.col("_known"), F.col("_date"))).over(W.partitionBy(key))
+    timely = F.col("_known") | F.col("_since").isNull() | (F.col("_date") > F.col("_since"))
+    chained = _chained(states.withColumn("_since", since).where(timely), key, compare, "_date")
+    return historical(history).unionByName(chained.select(history.columns))
 
 
 def history_of(history: DataFrame, keys: DataFrame | Column, key: str) -> DataFrame:

@@ -29,7 +29,7 @@ def row_filter(
     """Rows of the caller's own keys; an admin sees all, an unknown login nothing."""
     if principal in admins:
         return df
-    return keep_keys(df, visible_keys(mapping, principal, key), [key])
+    return keep_keys(df, sized(visible_keys(mapping, principal, key)), [key])
 
 
 def row_filter_via_dim(
@@ -43,7 +43,8 @@ def row_filter_via_dim(
     """Restrict the dimension; the relationship carries the restriction to the fact."""
     if principal in admins:
         return fact
-    return keep_keys(fact, row_filter(dim, mapping, principal, (), key).select(key), [key])
+    seen = row_filter(dim, mapping, principal, (), key).select(key)
+    return keep_keys(fact, sized(seen), [key])
 
 
 def group_filter(

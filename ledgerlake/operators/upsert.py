@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import aligned
 from ledgerlake.operators.joins import keep_keys, sized
 from ledgerlake.sinks.tables import write_partitioned
-from ledgerlake.sources.files import read_if_present
 
 
 def upsert(
@@ -36,23 +35,21 @@ def upsert(
 
 
 def upsert_partitions(
-    spark: SparkSession,
+    target: DataFrame | None,
     path: str,
     source: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str],
     partition: str,
-    target: DataFrame | None = None,
 ) -> None:
-    """Upsert into a Parquet table partitioned by one column.
+    """Upsert into the Parquet table at ``path``, partitioned by one column.
+
+    ``target`` is that table as read, or None when nothing was written there yet.
 
     Only partitions that hold a matched key or receive a new row are rewritten. They
     are found from the key and partition columns alone; the list brought to the driver
-    has at most one entry per partition folder. ``target`` is the stored table if the
-    caller has already opened it.
+    has at most one entry per partition folder.
     """
-    if target is None:
-        target = read_if_present(spark, path, source.schema)
     source = source.persist()
     try:
         if target is None:

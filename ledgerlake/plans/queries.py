@@ -512,7 +512,10 @@ def _(b: Blotter):
 
 
 def _suite_tables(b: Blotter) -> dict[str, DataFrame]:
-    silver = b.silver()
+    """Layers as they are checked: Silver is built and stored before its checks read it."""
+    stored = work_folder(b.spark, "silver")
+    sinks.write_parquet(b.silver(), stored)
+    silver = files.read_parquet(b.spark, stored)
     return {
         "bronze_trades": b.bronze(),
         "silver_trades": silver,
@@ -693,6 +696,15 @@ def _(b: Blotter):
 
 
 @query("scd2_two_batches", "trader_history", sql=f"select {HISTORY_COLUMNS} from trader_history")
+def _(b: Blotter):
+    table = history.scd2_init(b.first_traders(), LOAD_DATE)
+    for date, snapshot in b.trader_batches():
+        table = history.scd2_apply(table, snapshot, "trader_id", TRADER_STATE, date)
+        table = _cut(b, table)
+    return table
+
+
+@query("scd2_folded", "trader_history", sql=f"select {HISTORY_COLUMNS} from trader_history")
 def _(b: Blotter):
     return trader_history(b)
 
@@ -1041,6 +1053,13 @@ SNAPSHOT_SQL = """
           from trader_history) as h"""
 
 
+def _cut(b: Blotter, table: DataFrame) -> DataFrame:
+    """Store a table between batches; a batch reads it twice, so plans would double."""
+    path = work_folder(b.spark, "step")
+    sinks.write_parquet(table, path)
+    return files.read_parquet(b.spark, path)
+
+
 def _snapshot_shown(df: DataFrame) -> DataFrame:
     return df.select(
         "trader_id",
@@ -1059,6 +1078,7 @@ def _(b: Blotter):
         table = history.snapshot_check(
             table, source, "trader_id", [*TRADER_STATE, "trader_name"], f"{date} 00:00:00"
         )
+        table = _cut(b, table)
     return _snapshot_shown(table)
 
 
@@ -1103,6 +1123,7 @@ def _(b: Blotter):
         table = history.snapshot_check(
             table, source, "trader_id", TRADER_STATE, f"{date} 00:00:00"
         )
+        table = _cut(b, table)
     at = history.snapshot_as_of(table, "1998-01-01 00:00:00")
     return at.select("trader_id", "desk", "region")
 

@@ -37,9 +37,7 @@ def transform_window(
         seen, F.count("*").alias("bronze_row_count")
     )
     loaded = with_audit(silver_trades(day_rows), now)
-    upsert_partitions(
-        spark, silver_path, loaded, ["trade_id"], UPDATED, "trade_date", target
-    )
+    upsert_partitions(target, silver_path, loaded, ["trade_id"], UPDATED, "trade_date")
     stored = extract_window(
         spark.read.schema(SILVER).parquet(silver_path), window_date, ["trade_id"], "trade_date"
     ).count()

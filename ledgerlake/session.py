@@ -47,6 +47,7 @@ def shared_root(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     root = tempfile.mkdtemp(prefix="ledgerlake-")
     spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 
