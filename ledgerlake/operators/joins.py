@@ -57,13 +57,22 @@ def enrich(
     return star_join(fact, {key: sized(dim, limit) for key, dim in dims.items()}, how)
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys, list(on), "left_semi")
+def key_set(keys: DataFrame, on: Sequence[str], limit: int = 0) -> DataFrame:
+    """The distinct keys; repeats of a hot key merge map-side and never reach one task.
+
+    Where the set is then shuffled for a join, the two share that shuffle.
+    """
+    return sized(keys.select(*on).distinct(), limit)
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], limit: int = 0) -> DataFrame:
+    """Rows whose key is in the set. A ``limit`` measures the set and may broadcast it."""
+    return df.join(key_set(keys, on, limit), list(on), "left_semi")
 
 
-def drop_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+def drop_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], limit: int = 0) -> DataFrame:
     """Rows whose key is not in the set; a NULL key is kept."""
-    return df.join(keys, list(on), "left_anti")
+    return df.join(key_set(keys, on, limit), list(on), "left_anti")
 
 
 def join_current(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import sized
+from ledgerlake.operators.joins import BROADCAST_LIMIT, drop_keys
 from ledgerlake.operators.reconcile import duplicate_keys
 
 
@@ -30,8 +30,8 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key the parent lacks; a child without a key is no failure."""
-    keys = sized(parent.select(F.col(key).alias(column)))
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    keys = parent.select(F.col(key).alias(column))
+    return drop_keys(child.where(F.col(column).isNotNull()), keys, [column], BROADCAST_LIMIT)
 
 
 def positive_value(df: DataFrame, column: str) -> DataFrame:

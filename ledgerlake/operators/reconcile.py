@@ -39,19 +39,26 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_records")).where("n_records > 1")
 
 
-def audit_parts(df: DataFrame, key: str, measure: str) -> DataFrame:
-    """One row: do the per-key parts add up to the whole? Rows without a key are no part."""
-    cube = df.rollup(key).agg(
-        F.count("*").alias("n"), F.sum(measure).alias("v"), F.grouping(key).alias("whole")
-    )
-    part = (F.col("whole") == 0) & F.col(key).isNotNull()
-    whole = F.col("whole") == 1
-    sums = cube.agg(
-        F.count(F.when(part, True)).alias("parts"),
-        F.sum(F.when(part, F.col("n"))).alias("rows_in_parts"),
-        F.sum(F.when(whole, F.col("n"))).alias("rows_in_whole"),
-        F.sum(F.when(part, F.col("v"))).cast(TOTAL).alias("value_in_parts"),
-        F.sum(F.when(whole, F.col("v"))).cast(TOTAL).alias("value_in_whole"),
+def audit_parts(
+    df: DataFrame, key: str, measure: str, mapping: DataFrame | None = None
+) -> DataFrame:
+    """One row: do the parts that viewers see add up to the whole?
+
+    With a login map a row counts once per login that sees it, so rows nobody sees and
+    rows two logins see both break the sum. Without one, rows lacking a key break it.
+    """
+    per_key = df.groupBy(key).agg(F.count("*").alias("n"), F.sum(measure).alias("v"))
+    if mapping is None:
+        seen = per_key.withColumn("viewers", F.when(F.col(key).isNotNull(), 1).otherwise(0))
+    else:
+        viewers = mapping.groupBy(key).agg(F.count_distinct("login_name").alias("viewers"))
+        seen = per_key.join(viewers, key, "left").na.fill(0, ["viewers"])
+    sums = seen.agg(
+        F.count(F.when(F.col("viewers") > 0, True)).alias("parts"),
+        F.sum(F.col("n") * F.col("viewers")).cast("bigint").alias("rows_in_parts"),
+        F.sum("n").alias("rows_in_whole"),
+        F.sum(F.col("v") * F.col("viewers")).cast(TOTAL).alias("value_in_parts"),
+        F.sum("v").cast(TOTAL).alias("value_in_whole"),
     )
     agrees = (F.col("rows_in_parts") == F.col("rows_in_whole")) & (
         F.col("value_in_parts") == F.col("value_in_whole")

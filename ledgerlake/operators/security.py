@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.gold import total_of, totals
-from ledgerlake.operators.joins import keep_keys, sized
+from ledgerlake.operators.joins import BROADCAST_LIMIT, keep_keys
 
 
 def visible_keys(mapping: DataFrame, principal: str | Column | None, key: str) -> DataFrame:
@@ -29,7 +29,7 @@ def row_filter(
     """Rows of the caller's own keys; an admin sees all, an unknown login nothing."""
     if principal in admins:
         return df
-    return keep_keys(df, sized(visible_keys(mapping, principal, key)), [key])
+    return keep_keys(df, visible_keys(mapping, principal, key), [key], BROADCAST_LIMIT)
 
 
 def row_filter_via_dim(
@@ -44,14 +44,14 @@ def row_filter_via_dim(
     if principal in admins:
         return fact
     seen = row_filter(dim, mapping, principal, (), key).select(key)
-    return keep_keys(fact, sized(seen), [key])
+    return keep_keys(fact, seen, [key], BROADCAST_LIMIT)
 
 
 def group_filter(
     df: DataFrame, dim: DataFrame, rule: Column | str, key: str = "trader_id"
 ) -> DataFrame:
     """Rows whose dimension row satisfies a rule, such as one desk's."""
-    return keep_keys(df, sized(dim.where(rule).select(key)), [key])
+    return keep_keys(df, dim.where(rule), [key], BROADCAST_LIMIT)
 
 
 def own_rows(key_value: int | None, key: str = "trader_id") -> Column:

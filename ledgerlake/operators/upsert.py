@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import aligned
-from ledgerlake.operators.joins import keep_keys, sized
+from ledgerlake.operators.joins import BROADCAST_LIMIT, keep_keys
 from ledgerlake.sinks.tables import write_partitioned
 
 
@@ -55,10 +55,8 @@ def upsert_partitions(
         if target is None:
             write_partitioned(source, path, partition)
             return
-        matched = keep_keys(
-            target.select(*keys, partition), sized(source.select(*keys)), keys
-        ).select(partition)
-        touched = matched.unionByName(source.select(partition)).distinct()
+        matched = keep_keys(target.select(*keys, partition), source, keys, BROADCAST_LIMIT)
+        touched = matched.select(partition).union(source.select(partition)).distinct()
         values = [row[0] for row in touched.collect()]
         if values:
             part = target.where(F.col(partition).isin(values))

@@ -44,13 +44,19 @@ class Blotter:
             & (F.col("l_tax") >= 0.075)
             & (F.col("l_discount") < 0.005)
         )
+        orders = self.table("orders").select(
+            "o_orderkey", F.col("o_orderdate").cast("date").alias("trade_date")
+        )
+        prices = self.table("part").select(
+            "p_partkey", F.col("p_retailprice").cast("decimal(18,4)").alias("list_price")
+        )
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(prices, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id"),
-                F.col("o_orderdate").cast("date").alias("trade_date"),
+                "trade_date",
                 F.col("l_partkey").alias("security_id"),
                 F.col("l_suppkey").alias("trader_id"),
                 F.when(F.col("l_linestatus") == "F", "BUY").otherwise("SELL").alias("trade_type"),
@@ -58,9 +64,8 @@ class Blotter:
                 .otherwise(F.col("l_quantity"))
                 .cast("decimal(18,2)")
                 .alias("quantity"),
-                F.when(unpriced, 0.0)
-                .otherwise(F.col("p_retailprice"))
-                .cast("decimal(18,4)")
+                F.when(unpriced, F.lit(0).cast("decimal(18,4)"))
+                .otherwise(F.col("list_price"))
                 .alias("price"),
                 F.col("l_shipdate").alias("last_modified_ts"),
             )

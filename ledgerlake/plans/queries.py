@@ -403,6 +403,15 @@ def _(b: Blotter):
     return gold.grand_total(b.gold())
 
 
+@query(
+    "gold_by_date_then_value",
+    "gold_daily",
+    sql=f"select {DAILY} from gold_daily order by 1, 4 desc",
+)
+def _(b: Blotter):
+    return ranking.by_measure(b.gold(), "total_trade_value", first=["trade_date"])
+
+
 @query(
     "month_total",
     "silver_trades",
@@ -430,6 +439,47 @@ def _(b: Blotter):
     return calendar.calendar_of(b.table("orders"), "o_orderdate")
 
 
+@query(
+    "business_day_list",
+    sql="""with ends as (select min(cast(o_orderdate as date)) as a,
+                                max(cast(o_orderdate as date)) as z from orders),
+           days as (select cast(unnest(generate_series(a, z, interval 1 day)) as date) as d
+                    from ends)
+           select cast(d as varchar) as full_date, dayname(d) as day_name
+           from days where isodow(d) < 6""",
+)
+def _(b: Blotter):
+    days = calendar.calendar_of(b.table("orders"), "o_orderdate")
+    return days.where(calendar.is_business_day(F.col("full_date"))).select("full_date", "day_name")
+
+
+@query(
+    "customers_with_orders",
+    sql="""select c_mktsegment, count(*) as customers from customer
+           where c_custkey in (select o_custkey from orders) group by c_mktsegment""",
+)
+def _(b: Blotter):
+    buyers = b.table("orders").select(F.col("o_custkey").alias("c_custkey"))
+    kept = joins.keep_keys(b.table("customer"), buyers, ["c_custkey"])
+    return kept.groupBy("c_mktsegment").agg(F.count("*").alias("customers"))
+
+
+@query(
+    "traders_with_rejected_trades",
+    "newest_trades",
+    "dim_trader",
+    sql="""select trader_id, desk, trader_id in (select trader_id from newest_trades
+                  where not (quantity > 0 and price > 0)) as has_rejects from dim_trader""",
+)
+def _(b: Blotter):
+    rejects = conform.rejected_trades(b.bronze()).select("trader_id")
+    dim = b.traders().select("trader_id", "desk")
+    return history.assemble(
+        joins.keep_keys(dim, rejects, ["trader_id"]).withColumn("has_rejects", F.lit(True)),
+        joins.drop_keys(dim, rejects, ["trader_id"]).withColumn("has_rejects", F.lit(False)),
+    )
+
+
 @query(
     "business_day_trading",
     "silver_trades",
@@ -568,16 +618,43 @@ def _(b: Blotter):
     return quality.run_checks(_suite_tables(b), quality.blotter_suite())
 
 
+@query(
+    "gated_gold",
+    "silver_trades",
+    "gold_daily",
+    "dim_trader",
+    sql="""select desk, cast(sum(total_trade_value) as double) as total_trade_value
+           from gold_daily join dim_trader using (trader_id) group by desk""",
+)
+def _(b: Blotter):
+    """Gold is published only after the suite passed on the layers below it."""
+    tables, folder = _suite_tables(b), work_folder(b.spark, "gated")
+    quality.gate(
+        tables,
+        quality.blotter_suite(),
+        lambda: sinks.write_parquet(tables["gold_fact_trades_daily"], folder),
+    )
+    model = joins.relate(files.read_parquet(b.spark, folder), b.traders(), "trader_id")
+    return model.groupBy("desk").agg(
+        gold.total_of("total_trade_value").alias("total_trade_value")
+    )
+
+
 @query(
     "audit_parts",
     "silver_trades",
-    sql="""select count(distinct trader_id) as parts, count(*) as rows_in_parts,
-                  count(*) as rows_in_whole, cast(sum(trade_value) as double) as value_in_parts,
-                  cast(sum(trade_value) as double) as value_in_whole, true as agrees
-           from silver_trades where trader_id is not null""",
+    "logins",
+    sql="""select p.*, w.*, p.rows_in_parts = w.rows_in_whole
+                  and p.value_in_parts = w.value_in_whole as agrees
+           from (select count(distinct trader_id) as parts, count(*) as rows_in_parts,
+                        cast(sum(trade_value) as double) as value_in_parts
+                 from silver_trades join logins using (trader_id)) as p,
+                (select count(*) as rows_in_whole,
+                        cast(sum(trade_value) as double) as value_in_whole
+                 from silver_trades) as w""",
 )
 def _(b: Blotter):
-    return reconcile.audit_parts(b.silver(), "trader_id", "trade_value")
+    return reconcile.audit_parts(b.silver(), "trader_id", "trade_value", b.logins())
 
 
 @query(
@@ -802,7 +879,8 @@ def fact_history(b: Blotter) -> DataFrame:
     first = history.scd2_init(b.first_book(), LOAD_DATE).withColumn(
         "amendment_reason", F.lit(None).cast("string")
     )
-    return history.apply_amendments(first, b.amendments(), AMENDMENT_DATE)
+    # a quarter of all trades is amended, so the batch is not even measured for broadcast
+    return history.apply_amendments(first, b.amendments(), AMENDMENT_DATE, limit=0)
 
 
 @query(
@@ -884,7 +962,11 @@ AS_OF_JOIN = """select s.trade_id, cast(s.trade_value as double) as trade_value,
 
 
 def _as_of(b: Blotter, limit: int) -> DataFrame:
-    out = joins.join_as_of(b.silver(), trader_history(b), "trader_id", "trade_date", limit=limit)
+    day = F.col("o_orderdate").cast("date")
+    span = tuple(b.table("orders").agg(F.min(day), F.max(day)).first())
+    out = joins.join_as_of(
+        b.silver(), trader_history(b), "trader_id", "trade_date", limit=limit, span=span
+    )
     none = F.lit("none")
     return out.select(
         "trade_id",
@@ -957,6 +1039,22 @@ def _(b: Blotter):
     )
 
 
+@query("republished_history", "trader_history", sql=f"select {HISTORY_COLUMNS} from trader_history")
+def _(b: Blotter):
+    """Each batch replaces the table it reads."""
+    folder = work_folder(b.spark, "scd2")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+
+    def first():
+        return history.scd2_init(b.first_traders(), LOAD_DATE)
+
+    for date, snapshot in b.trader_batches():
+        table = catalog.read_or_init(b.spark, name, first)
+        after = history.scd2_apply(table, snapshot, "trader_id", TRADER_STATE, date)
+        sinks.publish(b.spark, after, name, folder)
+    return catalog.read_table(b.spark, name)
+
+
 # --- upsert and windows ---------------------------------------------------------------
 
 LOADED_AT = "2002-02-01 00:00:00"
@@ -1024,6 +1122,25 @@ def _(b: Blotter):
     )
 
 
+@query(
+    "window_read_back",
+    "silver_trades",
+    sql=f"""select {SILVER_COLUMNS} from silver_trades
+            where trade_date = (select cast(max(o_orderdate) as date) from orders)""",
+)
+def _(b: Blotter):
+    """The last day, stored as a window of its own and read from its folder."""
+    last = b.table("orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    root = work_folder(b.spark, "window")
+    sinks.write_window(day_of_silver(b, last), root, last)
+    return files.read_window(b.spark, root, last).drop("window_date")
+
+
+def day_of_silver(b: Blotter, day) -> DataFrame:
+    names = [c for c in schemas.TRADES.names if c != "last_modified_ts"]
+    return files.extract_window(b.silver(), day, names, "trade_date")
+
+
 @query(
     "window_folders",
     "silver_trades",
@@ -1348,6 +1465,15 @@ def _(b: Blotter):
     return _orders_by_status(seed)
 
 
+@query("bulk_loaded_table", sql=ORDERS_AS_READ)
+def _(b: Blotter):
+    folder, orders = work_folder(b.spark, "bulk"), b.table("orders")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    sinks.write_csv(orders, f"{folder}/orders.csv")
+    sinks.publish(b.spark, orders.where("false"), name, f"{folder}/table")
+    return _orders_by_status(catalog.bulk_load(b.spark, f"{folder}/orders.csv", name))
+
+
 @query(
     "published_gold",
     "gold_daily",
@@ -1430,6 +1556,7 @@ def _(b: Blotter):
             f"{folder}/checkpoint",
             events.schema,
             load_date="2024-02-01",
+            day_column="ts",
         ).awaitTermination()
     stored = arrivals.read_ingested(b.spark, f"{folder}/out")
     return stored.groupBy("LoadDate", "event_type").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,10 +88,14 @@ def publish(spark: SparkSession, df: DataFrame, table: str, path: str | None = N
 
     The rows are written to a second table first and renamed into place, so a failed
     write leaves the old table as it was. The two renames are not one atomic step.
+    With a ``path`` every publication gets its own folder below it, and the files of
+    earlier ones stay there.
     """
     staged, previous = f"{table}__next", f"{table}__previous"
     writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(staged)
+    if path:
+        writer = writer.option("path", f"{path}/{uuid.uuid4().hex}")
+    writer.saveAsTable(staged)
     if spark.catalog.tableExists(table):
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
         spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")

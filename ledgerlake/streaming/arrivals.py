@@ -17,24 +17,46 @@ def with_fingerprint(df: DataFrame) -> DataFrame:
     return df.withColumn("row_digest", F.unhex(F.sha2(row, 256)))
 
 
-def append_new(spark: SparkSession, batch: DataFrame, path: str, load_date) -> None:
+def append_new(
+    spark: SparkSession, batch: DataFrame, path: str, load_date, day_column: str | None = None
+) -> None:
     """Append the rows the target does not hold yet, below the folder of the load date.
 
     Copies inside the batch merge map-side first. Running the same batch again finds
     its rows in the target and adds nothing, so a retried batch is harmless.
+
+    ``day_column`` names a date or time of the rows. Copies share it, so the target is
+    also split by that day and only the days of the batch are read back; without it
+    every batch is compared with the digests of the whole target.
     """
     fresh = with_fingerprint(distinct_rows(batch))
-    held = read_if_present(spark, path)
-    if held is not None:
-        fresh = fresh.join(held.select("row_digest"), "row_digest", "left_anti")
-    loaded = F.lit(load_date).cast("date") if load_date is not None else F.current_date()
-    (
-        fresh.withColumn("LoadDate", loaded)
-        .hint("rebalance")
-        .write.mode("append")
-        .partitionBy("LoadDate")
-        .parquet(path)
-    )
+    folders = ["LoadDate"]
+    if day_column:
+        fresh = fresh.withColumn("row_day", F.col(day_column).cast("date"))
+        folders.append("row_day")
+    fresh = fresh.persist()
+    try:
+        held = read_if_present(spark, path)
+        new = fresh
+        if held is not None:
+            if day_column:
+                # at most one entry per day the batch holds
+                days = [r[0] for r in fresh.select("row_day").distinct().collect()]
+                undated = F.col("row_day").isNull() if None in days else F.lit(False)
+                held = held.where(
+                    F.col("row_day").isin([d for d in days if d is not None]) | undated
+                )
+            new = fresh.join(held.select("row_digest"), "row_digest", "left_anti")
+        loaded = F.lit(load_date).cast("date") if load_date is not None else F.current_date()
+        (
+            new.withColumn("LoadDate", loaded)
+            .hint("rebalance", *folders)
+            .write.mode("append")
+            .partitionBy(*folders)
+            .parquet(path)
+        )
+    finally:
+        fresh.unpersist()
 
 
 def ingest_stream(
@@ -45,6 +67,7 @@ def ingest_stream(
     schema: T.StructType,
     load_date=None,
     files_per_batch: int | None = None,
+    day_column: str | None = None,
 ) -> StreamingQuery:
     """Load every CSV file that has arrived since the last run, then stop.
 
@@ -63,7 +86,7 @@ def ingest_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        append_new(batch.sparkSession, batch, path, load_date)
+        append_new(batch.sparkSession, batch, path, load_date, day_column)
 
     return (
         reader.csv(in_dir)
@@ -75,4 +98,4 @@ def ingest_stream(
 
 
 def read_ingested(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("row_digest")
+    return spark.read.parquet(path).drop("row_digest", "row_day")

@@ -108,14 +108,20 @@ def test_totals_by_each_column(spark, rows):
 
 
 def test_parts_sum_to_the_whole(spark):
-    df = spark.createDataFrame(
-        [(1, D(1)), (2, D(2)), (2, D(3))], "trader_id int, v decimal(18,2)"
-    )
+    df = spark.createDataFrame([(1, D(1)), (2, D(2)), (2, D(3))], "trader_id int, v decimal(18,2)")
     assert reconcile.audit_parts(df, "trader_id", "v").first().agrees
     orphan = df.union(spark.createDataFrame([(None, D(9))], df.schema))
     result = reconcile.audit_parts(orphan, "trader_id", "v").first()
     assert (result.rows_in_parts, result.rows_in_whole, result.agrees) == (3, 4, False)
 
+    def audited(*logins):
+        mapping = spark.createDataFrame(logins, "trader_id int, login_name string")
+        return reconcile.audit_parts(df, "trader_id", "v", mapping).first()
+
+    assert audited((1, "a"), (2, "b"), (2, "b")).agrees
+    assert audited((1, "a")).rows_in_parts == 1
+    assert audited((1, "a"), (2, "b"), (2, "c")).rows_in_parts == 5
+
 
 def test_totals_within_tolerance(spark):
     a = spark.createDataFrame([(D("10.00"),)], "v decimal(18,2)")

@@ -142,13 +142,18 @@ def test_tables(spark, rows, tmp_path):
     sinks.publish(spark, grown, "dim_hist")
     assert catalog.read_table(spark, "dim_hist").count() == 7
     assert not spark.catalog.tableExists("dim_hist__next")
+    outside = str(tmp_path / "outside")
+    sinks.publish(spark, dim, "dim_outside", outside)
+    twice = catalog.read_table(spark, "dim_outside").union(dim)
+    sinks.publish(spark, twice, "dim_outside", outside)
+    assert catalog.read_table(spark, "dim_outside").count() == 12
     sinks.write_csv(dim, str(tmp_path / "dim.csv"))
     assert catalog.load_seed(spark, str(tmp_path / "dim.csv"), "dim_seed").count() == 6
     assert catalog.bulk_load(spark, str(tmp_path / "dim.csv"), "dim_hist").count() == 13
     assert sinks.materialize(spark, dim, "dim_view", "view").count() == 6
     inline = catalog.inline_rows(spark, JANUARY, schemas.TRADERS)
     assert rows(inline) == rows(dim)
-    for name in ("dim_hist", "dim_seed"):
+    for name in ("dim_hist", "dim_seed", "dim_outside"):
         spark.sql(f"drop table {name}")
 
 
@@ -211,6 +216,22 @@ def test_retried_batch_adds_nothing(spark, tmp_path):
     assert arrivals.read_ingested(spark, str(tmp_path / "out")).count() == 2
 
 
+def test_arrivals_split_by_day(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def load(*data):
+        batch = spark.createDataFrame(data, "id int, t string").selectExpr(
+            "id", "cast(t as timestamp_ntz) as at"
+        )
+        arrivals.append_new(spark, batch, out, "2026-05-01", "at")
+        return arrivals.read_ingested(spark, out).count()
+
+    assert load((1, "2026-01-01 10:00:00"), (1, "2026-01-01 10:00:00"), (2, None)) == 2
+    assert load((1, "2026-01-01 10:00:00"), (1, "2026-01-02 10:00:00"), (2, None)) == 3
+    assert load((1, "2026-01-01 11:00:00"), (1, "2026-01-02 10:00:00")) == 4
+    assert (tmp_path / "out" / "LoadDate=2026-05-01" / "row_day=2026-01-02").exists()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "a") != work_folder(spark, "a")
