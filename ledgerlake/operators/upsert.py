@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import aligned
 from ledgerlake.operators.joins import BROADCAST_LIMIT, keep_keys
 from ledgerlake.sinks.tables import write_partitioned
+from ledgerlake.sources.files import read_or_create
 
 
 def upsert(
@@ -35,7 +36,7 @@ def upsert(
 
 
 def upsert_partitions(
-    target: DataFrame | None,
+    spark: SparkSession,
     path: str,
     source: DataFrame,
     keys: Sequence[str],
@@ -44,17 +45,13 @@ def upsert_partitions(
 ) -> None:
     """Upsert into the Parquet table at ``path``, partitioned by one column.
 
-    ``target`` is that table as read, or None when nothing was written there yet.
-
     Only partitions that hold a matched key or receive a new row are rewritten. They
     are found from the key and partition columns alone; the list brought to the driver
     has at most one entry per partition folder.
     """
+    target = read_or_create(spark, path, source.schema, partition)
     source = source.persist()
     try:
-        if target is None:
-            write_partitioned(source, path, partition)
-            return
         matched = keep_keys(target.select(*keys, partition), source, keys, BROADCAST_LIMIT)
         touched = matched.select(partition).union(source.select(partition)).distinct()
         values = [row[0] for row in touched.collect()]

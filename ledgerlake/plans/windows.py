@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import with_audit, with_trade_value
@@ -18,7 +18,7 @@ from ledgerlake.operators.conform import (
 from ledgerlake.operators.upsert import upsert_partitions
 from ledgerlake.schemas import SILVER, TRADES
 from ledgerlake.sinks.tables import write_window
-from ledgerlake.sources.files import extract_window, read_if_present, read_window
+from ledgerlake.sources.files import extract_window, read_window
 
 UPDATED = ("quantity", "price", "trade_value", "silver_loaded_ts")
 
@@ -29,22 +29,18 @@ def transform_window(
     """Conform one day of Bronze and upsert it into Silver; returns the summary row.
 
     A known trade takes the new quantity, price, value and load time and keeps its other
-    columns. Bronze rows are counted while they are read, not by a scan of their own.
+    columns.
     """
-    target = read_if_present(spark, silver_path, SILVER)
-    seen = Observation(f"window-{window_date}")
-    day_rows = extract_window(bronze, window_date, TRADES.names, "trade_date").observe(
-        seen, F.count("*").alias("bronze_row_count")
-    )
+    day_rows = extract_window(bronze, window_date, TRADES.names, "trade_date")
     loaded = with_audit(silver_trades(day_rows), now)
-    upsert_partitions(target, silver_path, loaded, ["trade_id"], UPDATED, "trade_date")
-    stored = extract_window(
-        spark.read.schema(SILVER).parquet(silver_path), window_date, ["trade_id"], "trade_date"
-    ).count()
+    upsert_partitions(spark, silver_path, loaded, ["trade_id"], UPDATED, "trade_date")
+    stored = spark.read.schema(SILVER).parquet(silver_path)
     return {
         "window_date": str(window_date),
-        "bronze_row_count": seen.get["bronze_row_count"],
-        "silver_row_count": stored,
+        "bronze_row_count": day_rows.select("trade_id").count(),
+        "silver_row_count": extract_window(
+            stored, window_date, ["trade_id"], "trade_date"
+        ).count(),
     }
 
 

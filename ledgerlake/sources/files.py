@@ -34,17 +34,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_present(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
-) -> DataFrame | None:
-    """The Parquet table at a path, or None when nothing was written there yet."""
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_or_create(
+    spark: SparkSession, path: str, schema: T.StructType, *partitions: str
+) -> DataFrame:
+    """The Parquet table at a path, created empty when nothing was written there yet."""
+    empty = spark.createDataFrame([], schema).write.mode("ignore")
+    (empty.partitionBy(*partitions) if partitions else empty).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_window(spark: SparkSession, root: str, window_date) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.conform import distinct_rows
-from ledgerlake.sources.files import read_if_present
+from ledgerlake.sources.files import read_or_create
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -34,19 +34,16 @@ def append_new(
     if day_column:
         fresh = fresh.withColumn("row_day", F.col(day_column).cast("date"))
         folders.append("row_day")
+    stored = T.StructType([*fresh.schema, T.StructField("LoadDate", T.DateType())])
+    held = read_or_create(spark, path, stored, *folders)
     fresh = fresh.persist()
     try:
-        held = read_if_present(spark, path)
-        new = fresh
-        if held is not None:
-            if day_column:
-                # at most one entry per day the batch holds
-                days = [r[0] for r in fresh.select("row_day").distinct().collect()]
-                undated = F.col("row_day").isNull() if None in days else F.lit(False)
-                held = held.where(
-                    F.col("row_day").isin([d for d in days if d is not None]) | undated
-                )
-            new = fresh.join(held.select("row_digest"), "row_digest", "left_anti")
+        if day_column:
+            # at most one entry per day the batch holds
+            days = [r[0] for r in fresh.select("row_day").distinct().collect()]
+            undated = F.col("row_day").isNull() if None in days else F.lit(False)
+            held = held.where(F.col("row_day").isin([d for d in days if d is not None]) | undated)
+        new = fresh.join(held.select("row_digest"), "row_digest", "left_anti")
         loaded = F.lit(load_date).cast("date") if load_date is not None else F.current_date()
         (
             new.withColumn("LoadDate", loaded)

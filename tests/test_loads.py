@@ -35,11 +35,11 @@ def test_partitioned_upsert_rewrites_only_touched_folders(spark, rows, tmp_path)
     path = str(tmp_path / "t")
     schema = "k int, q int, d string"
     base = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, 3, "c")], schema)
-    upsert.upsert_partitions(None, path, base, ["k"], ["q"], "d")
+    upsert.upsert_partitions(spark, path, base, ["k"], ["q"], "d")
     before = {p.name for p in (tmp_path / "t" / "d=b").iterdir()}
     # key 1 now says it belongs to c: it is updated where it is stored
     change = spark.createDataFrame([(1, 9, "c"), (4, 4, "e")], schema)
-    upsert.upsert_partitions(spark.read.parquet(path), path, change, ["k"], ["q"], "d")
+    upsert.upsert_partitions(spark, path, change, ["k"], ["q"], "d")
     stored = spark.read.parquet(path).select("k", "q", "d")
     assert rows(stored) == [(1, 9, "a"), (2, 2, "b"), (3, 3, "c"), (4, 4, "e")]
     assert {p.name for p in (tmp_path / "t" / "d=b").iterdir()} == before
