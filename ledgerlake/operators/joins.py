@@ -87,8 +87,7 @@ def relate(
     fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """A declared many-to-one relationship: refuses a dimension whose key repeats."""
-    repeated = dim.groupBy(key).count().where("count > 1").limit(1)
-    if not repeated.isEmpty():
+    if not dim.groupBy(key).count().where("count > 1").isEmpty():
         raise ValueError(f"{key} is not unique on the one side of the relationship")
     return enrich(fact, {key: dim}, how, limit)
 

@@ -107,3 +107,20 @@ def create_visibility_function(spark: SparkSession, name: str, mapping_table: st
                WHERE m.trader_id = key AND m.login_name = login
         """
     )
+
+
+def create_secured_view(
+    spark: SparkSession, name: str, table: str, mapping_table: str, admin: str, key="trader_id"
+) -> None:
+    """A view that shows each reader their own rows, evaluated anew in every query.
+
+    Bind it once per protected table (fact and dimension) with the same map.
+    """
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY VIEW {name} AS
+        SELECT * FROM {table}
+        WHERE {key} IN (SELECT {key} FROM {mapping_table} WHERE login_name = session_user())
+           OR session_user() = '{admin}'
+        """
+    )

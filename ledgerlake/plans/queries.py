@@ -26,7 +26,7 @@ from ledgerlake.operators import (
     security,
     upsert,
 )
-from ledgerlake.plans import windows
+from ledgerlake.plans import medallion, windows
 from ledgerlake.plans.blotter import (
     AMENDMENT_DATE,
     FIRST_BATCH,
@@ -1055,6 +1055,39 @@ def _(b: Blotter):
     return catalog.read_table(b.spark, name)
 
 
+@query(
+    "lakehouse_build",
+    "bronze_trades",
+    "silver_trades",
+    "gold_daily",
+    "dim_trader",
+    "trader_states",
+    sql=f"""select 'silver' as layer, count(*) as n from silver_trades
+            union all select 'gold', count(*) from gold_daily
+            union all select 'dim', count(*) from dim_trader
+            union all select 'history', count(*) + (
+                select count(*) from trader_states as s join dim_trader as d using (trader_id)
+                where snapshot_date = date '{SECOND_BATCH}'
+                  and (s.desk is distinct from d.desk or s.region is distinct from d.region))
+              from dim_trader
+            union all select 'failed check: bronze_trades_positive_quantity_and_price', count(*)
+              from bronze_trades where quantity <= 0 or price <= 0""",
+)
+def _(b: Blotter):
+    """Two runs over the same trades, the second with moved traders."""
+    lake, moved = work_folder(b.spark, "build"), b.trader_batches()[1][1]
+    for date, dim in ((LOAD_DATE, b.traders()), (SECOND_BATCH, moved)):
+        done = medallion.build(b.spark, b.bronze(), dim, lake, date)
+    layers = {"silver": done.silver, "gold": done.gold, "dim": done.traders}
+    counts = [
+        df.agg(F.lit(name).alias("layer"), F.count("*").alias("n"))
+        for name, df in {**layers, "history": done.history}.items()
+    ]
+    failed = [(f"failed check: {c.check_name}", c.failing_rows) for c in done.checks if not c.passed]
+    schema = "layer string, n bigint"
+    return history.assemble(*counts, b.spark.createDataFrame(failed, schema))
+
+
 # --- upsert and windows ---------------------------------------------------------------
 
 LOADED_AT = "2002-02-01 00:00:00"
@@ -1327,6 +1360,29 @@ def _(b: Blotter):
     )
 
 
+@query(
+    "rls_view",
+    "silver_trades",
+    "dim_trader",
+    sql="""select desk, trade_type, cast(sum(trade_value) as double) as total_trade_value,
+                  count(*) as trade_count
+           from silver_trades join dim_trader using (trader_id)
+           where region = 'EUROPE' group by desk, trade_type""",
+)
+def _(b: Blotter):
+    """The session's own user is mapped to one region's traders; fact and dim are bound."""
+    mine = b.traders().where("region = 'EUROPE'").select(
+        "trader_id", F.session_user().alias("login_name")
+    )
+    mine.createOrReplaceTempView("my_logins")
+    for name, table in (("silver_trades", b.silver()), ("gold_dim_trader", b.traders())):
+        table.createOrReplaceTempView(name)
+        security.create_secured_view(b.spark, f"secured_{name}", name, "my_logins", ADMIN)
+    fact = catalog.read_table(b.spark, "secured_silver_trades")
+    dim = catalog.read_table(b.spark, "secured_gold_dim_trader")
+    return gold.totals(joins.star_join(fact, {"trader_id": dim}), ["desk", "trade_type"])
+
+
 @query("rls_live", "silver_trades", sql=SIDES.format(where="where trader_id = 3"))
 def _(b: Blotter):
     return security.live_totals(b.silver(), security.own_rows(3))

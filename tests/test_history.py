@@ -240,6 +240,37 @@ def test_join_as_of_takes_the_version_of_the_day(spark, rows, limit):
     assert inner.count() == 6
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_join_as_of_both_ways_against_a_plain_loop(spark, rows, seed):
+    rng = random.Random(seed)
+    initial = [(k, f"t{k}", "a", "x") for k in range(6)]
+    start = h.scd2_init(traders(spark, initial), "2026-01-01")
+    batches = random_batches(seed)
+    table = h.scd2_fold(start, [(d, traders(spark, s)) for d, s in batches], "trader_id", STATE)
+    raw = [
+        (
+            i,
+            rng.choice([None, *range(10)]),
+            None if rng.random() < 0.1 else date(2025, 12, 20) + timedelta(days=rng.randrange(90)),
+        )
+        for i in range(300)
+    ]
+    fact = spark.createDataFrame(raw, "id int, trader_id long, d date")
+    versions = [tuple(r) for r in table.select("trader_id", "valid_from", "valid_to", "desk").collect()]
+    wanted = sorted(
+        (
+            i,
+            next((f for t, f, z, _ in versions if d and t == k and f <= d <= z), None),
+            next((s for t, f, z, s in versions if d and t == k and f <= d <= z), None),
+        )
+        for i, k, d in raw
+    )
+    for limit in (0, joins.BROADCAST_LIMIT):
+        joined = joins.join_as_of(fact, table, "trader_id", "d", limit=limit)
+        found = sorted(tuple(r) for r in joined.select("id", "valid_from", "desk").collect())
+        assert found == wanted
+
+
 def test_join_current_does_not_multiply(spark):
     fact = spark.createDataFrame([(1, 4), (2, 4), (3, 8)], "id int, trader_id long")
     joined = joins.join_current(fact, after_september(spark), "trader_id")

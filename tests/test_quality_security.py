@@ -113,3 +113,30 @@ def test_null_keys_are_kept_by_drop_keys(spark):
     assert joins.drop_keys(df, keys, ["k"]).count() == 2
     assert joins.keep_keys(df, keys, ["k"]).count() == 1
     assert df.where(F.col("k").isNull()).count() == 1
+
+
+def test_secured_view_follows_the_session_user(spark):
+    user = spark.sql("select session_user()").first()[0]
+    spark.createDataFrame([(1, user), (2, "someone")], LOGINS).createOrReplaceTempView("view_map")
+    tables(spark)["silver_trades"].createOrReplaceTempView("silver_for_view")
+    security.create_secured_view(spark, "mine", "silver_for_view", "view_map", "admin")
+    assert spark.table("mine").count() == 4
+    security.create_secured_view(spark, "all_rows", "silver_for_view", "view_map", user)
+    assert spark.table("all_rows").count() == 9
+
+
+def test_build_stores_checked_layers_and_keeps_history(spark, tmp_path):
+    from fixtures import JUNE
+    from ledgerlake.plans import medallion
+
+    lake = str(tmp_path / "lake")
+    first = medallion.build(spark, trades(spark), traders(spark, JANUARY), lake, "2026-01-01")
+    assert (first.silver.count(), first.history.count(), len(first.checks)) == (9, 6, 11)
+    for _ in range(2):
+        june = medallion.build(spark, trades(spark), traders(spark, JUNE), lake, "2026-06-01")
+        assert (june.history.count(), june.history.where("is_current").count()) == (10, 7)
+    lost = traders(spark, JANUARY[1:])  # trades of a trader the dimension lacks
+    with pytest.raises(quality.ChecksFailed):
+        medallion.build(spark, trades(spark), lost, lake, "2026-07-01")
+    path = f"{lake}/gold_dim_trader_scd2"
+    assert spark.read.parquet(path).count() == 10
