@@ -1,7 +1,7 @@
 """Every registered query, next to the SQL it is checked against.
 
 Results are shown in types that print alike in both engines: money as double, dates as
-text. The operators themselves keep decimals and dates.
+text, missing text as 'none'. The operators themselves keep decimals, dates and NULLs.
 """
 
 from __future__ import annotations
@@ -56,7 +56,9 @@ def shown(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-            c = c.cast("string")
+            c = F.coalesce(c.cast("string"), F.lit("none"))
+        elif isinstance(f.dataType, T.StringType):
+            c = F.coalesce(c, F.lit("none"))
         out.append(c.alias(f.name))
     return df.select(out)
 
@@ -709,7 +711,7 @@ def _(b: Blotter):
 # --- history ----------------------------------------------------------------------------
 
 TRADER_STATE = ["desk", "region"]
-HISTORY_COLUMNS = """trader_id, trader_name, desk, region, cast(valid_from as varchar)
+HISTORY_COLUMNS = """trader_id, trader_name, coalesce(desk, 'none') as desk, region, cast(valid_from as varchar)
     as valid_from, cast(valid_to as varchar) as valid_to, is_current"""
 
 
@@ -721,7 +723,8 @@ def trader_history(b: Blotter, batches: int = 2) -> DataFrame:
 @query(
     "history_first_run",
     "trader_states",
-    sql=f"""select trader_id, trader_name, desk, region, '{LOAD_DATE}' as valid_from,
+    sql=f"""select trader_id, trader_name, coalesce(desk, 'none') as desk, region,
+                   '{LOAD_DATE}' as valid_from,
                    '9999-12-31' as valid_to, true as is_current
             from trader_states where snapshot_date = date '{LOAD_DATE}'""",
 )
@@ -796,7 +799,7 @@ def _(b: Blotter):
     "scd2_refused_late_batch",
     "trader_history",
     "trader_states",
-    sql=f"""select s.trader_id, s.trader_name, s.desk, s.region
+    sql=f"""select s.trader_id, s.trader_name, coalesce(s.desk, 'none') as desk, s.region
             from (select * from trader_states where snapshot_date = date '{FIRST_BATCH}') as s
             join (select * from trader_history where is_current
                   and valid_from >= date '{FIRST_BATCH}') as h on s.trader_id = h.trader_id
@@ -822,7 +825,7 @@ def _(b: Blotter):
 @query(
     "as_of_dim",
     "trader_history",
-    sql="""select trader_id, desk, region from trader_history
+    sql="""select trader_id, coalesce(desk, 'none') as desk, region from trader_history
            where date '1999-06-30' between valid_from and valid_to""",
 )
 def _(b: Blotter):
@@ -895,16 +898,7 @@ def fact_history(b: Blotter) -> DataFrame:
             from ({FACT_HISTORY}) as h""",
 )
 def _(b: Blotter):
-    return fact_history(b).select(
-        "trade_id",
-        "quantity",
-        "price",
-        "trade_value",
-        "valid_from",
-        "valid_to",
-        "is_current",
-        F.coalesce("amendment_reason", F.lit("none")).alias("amendment_reason"),
-    )
+    return fact_history(b).drop("trade_date", "security_id", "trader_id", "trade_type")
 
 
 @query(
@@ -967,13 +961,7 @@ def _as_of(b: Blotter, limit: int) -> DataFrame:
     out = joins.join_as_of(
         b.silver(), trader_history(b), "trader_id", "trade_date", limit=limit, span=span
     )
-    none = F.lit("none")
-    return out.select(
-        "trade_id",
-        "trade_value",
-        F.coalesce("desk", none).alias("desk"),
-        F.coalesce("region", none).alias("region"),
-    )
+    return out.select("trade_id", "trade_value", "desk", "region")
 
 
 @query("join_as_of", "silver_trades", "trader_history", sql=AS_OF_JOIN)
@@ -1018,7 +1006,7 @@ def _(b: Blotter):
 )
 def _(b: Blotter):
     joined = joins.join_current(b.silver(), trader_history(b), "trader_id")
-    return gold.totals(joined.na.fill("none", ["desk"]), ["desk"])
+    return gold.totals(joined, ["desk"])
 
 
 def _stored_history(b: Blotter) -> DataFrame:
@@ -1194,7 +1182,7 @@ def _(b: Blotter):
 # --- open-ended snapshots -------------------------------------------------------------
 
 SNAPSHOT_SQL = """
-    select trader_id, desk, region, dbt_valid_from, coalesce(dbt_valid_to, 'open') as dbt_valid_to,
+    select trader_id, coalesce(desk, 'none') as desk, region, dbt_valid_from, coalesce(dbt_valid_to, 'none') as dbt_valid_to,
            md5(trader_id || '|' || dbt_valid_from || '.000000') as dbt_scd_id
     from (select trader_id, desk, region,
                  strftime(valid_from, '%Y-%m-%d 00:00:00') as dbt_valid_from,
@@ -1216,7 +1204,7 @@ def _snapshot_shown(df: DataFrame) -> DataFrame:
         "desk",
         "region",
         "dbt_valid_from",
-        F.coalesce(F.col("dbt_valid_to").cast("string"), F.lit("open")).alias("dbt_valid_to"),
+        "dbt_valid_to",
         "dbt_scd_id",
     )
 
@@ -1238,10 +1226,10 @@ def _(b: Blotter):
     sql="""with firsts as (select trade_id, min(last_modified_ts) as a, max(last_modified_ts) as z
                            from bronze_trades group by trade_id)
            select trade_id, cast(a as varchar) as dbt_valid_from,
-                  case when z > a then cast(z as varchar) else 'open' end as dbt_valid_to
+                  case when z > a then cast(z as varchar) else 'none' end as dbt_valid_to
            from firsts
            union all
-           select trade_id, cast(z as varchar), 'open' from firsts where z > a""".replace(
+           select trade_id, cast(z as varchar), 'none' from firsts where z > a""".replace(
         "with firsts as", "select * from (with firsts as", 1
     )
     + ") as versions",
@@ -1257,14 +1245,14 @@ def _(b: Blotter):
     return table.select(
         "trade_id",
         "dbt_valid_from",
-        F.coalesce(F.col("dbt_valid_to").cast("string"), F.lit("open")).alias("dbt_valid_to"),
+        "dbt_valid_to",
     )
 
 
 @query(
     "snapshot_as_of",
     "trader_history",
-    sql="""select trader_id, desk, region from trader_history
+    sql="""select trader_id, coalesce(desk, 'none') as desk, region from trader_history
            where date '1998-01-01' between valid_from and valid_to""",
 )
 def _(b: Blotter):
@@ -1588,10 +1576,9 @@ def _(b: Blotter):
     for date, snapshot in b.trader_batches():
         dated = snapshot.withColumn("snapshot_date", F.lit(date).cast("date"))
         sinks.write_csv(dated, files.snapshot_path(root, "dim_trader_snapshot", date))
-    found = files.read_snapshot(
+    return files.read_snapshot(
         b.spark, root, "dim_trader_snapshot", SECOND_BATCH, schemas.TRADER_SNAPSHOT
     )
-    return found.na.fill("none", ["desk"])
 
 
 @query(
