@@ -7,6 +7,7 @@ plain equi join that Spark shuffles, where adaptive execution splits skewed keys
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +29,20 @@ def _row_bytes(schema: T.StructType):
     return varying + fixed
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table, from one distributed aggregate that returns a single row."""
-    size = F.sum(_row_bytes(df.schema).cast("bigint"))
-    return df.agg(size.alias("size")).first()["size"] or 0
+def measured_bytes(*tables: DataFrame) -> list[int]:
+    """Size of each table, from distributed aggregates in one job that returns a row each."""
+    sizes = [
+        df.agg(F.sum(_row_bytes(df.schema).cast("bigint")).alias("size")).withColumn(
+            "table", F.lit(i)
+        )
+        for i, df in enumerate(tables)
+    ]
+    found = {r["table"]: r["size"] or 0 for r in reduce(DataFrame.union, sizes).collect()}
+    return [found[i] for i in range(len(tables))]
 
 
 def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    return limit > 0 and measured_bytes(df) <= limit
+    return limit > 0 and measured_bytes(df)[0] <= limit
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -53,8 +60,17 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], how: str = "inner"
 def enrich(
     fact: DataFrame, dims: Mapping[str, DataFrame], how: str = "left", limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """Attach dimension attributes without moving the fact when the dimension is small."""
-    return star_join(fact, {key: sized(dim, limit) for key, dim in dims.items()}, how)
+    """Attach dimension attributes without moving the fact when the dimensions are small.
+
+    The dimensions are measured together; ``limit`` holds for each of them.
+    """
+    if limit > 0:
+        sizes = measured_bytes(*dims.values())
+        dims = {
+            key: F.broadcast(dim) if size <= limit else dim
+            for (key, dim), size in zip(dims.items(), sizes, strict=True)
+        }
+    return star_join(fact, dims, how)
 
 
 def key_set(keys: DataFrame, on: Sequence[str], limit: int = 0) -> DataFrame:
