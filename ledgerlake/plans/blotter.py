@@ -18,6 +18,7 @@ from ledgerlake.operators.conform import (
 )
 from ledgerlake.functions.columns import with_trade_value
 from ledgerlake.operators.gold import gold_daily
+from ledgerlake.sources.files import spread
 
 # fixed values: dates of the first load and of the two trader snapshots
 LOAD_DATE, FIRST_BATCH, SECOND_BATCH = "1995-01-01", "1998-01-01", "2000-01-01"
@@ -51,7 +52,7 @@ class Blotter:
             "p_partkey", F.col("p_retailprice").cast("decimal(18,4)").alias("list_price")
         )
         return (
-            self.table("lineitem")
+            spread(self.table("lineitem"), "l_orderkey")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(prices, F.col("l_partkey") == F.col("p_partkey"))
             .select(

@@ -34,6 +34,21 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def partition_count(df: DataFrame) -> int:
+    """Number of pieces Spark would read or compute the rows in."""
+    return df.rdd.getNumPartitions()
+
+
+def spread(df: DataFrame, *keys: str, most: int = 32) -> DataFrame:
+    """Hash a small table that comes in too few pieces over all cores.
+
+    Only a table of fewer than ``most`` pieces is moved, some gigabytes at the default
+    split size, so even a key with much of the table stays a bounded task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if partition_count(df) < min(cores, most) else df
+
+
 def read_or_create(
     spark: SparkSession, path: str, schema: T.StructType, *partitions: str
 ) -> DataFrame:

@@ -235,3 +235,10 @@ def test_arrivals_split_by_day(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "a") != work_folder(spark, "a")
+
+
+def test_only_small_tables_are_spread(spark):
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 8)
+    assert files.partition_count(files.spread(few, "id")) == 8
+    assert files.partition_count(files.spread(few, "id", most=2)) == 2
+    assert files.spread(many, "id") is many
