@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+_local_roots: dict[str, str] = {}
+
 
 def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -45,10 +47,11 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    root = tempfile.mkdtemp(prefix="ledgerlake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="ledgerlake-")
+        spark.sparkContext.setCheckpointDir(_local_roots[app])
+    return _local_roots[app]
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
