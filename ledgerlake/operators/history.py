@@ -317,7 +317,8 @@ SNAPSHOT_COLUMNS = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid
 
 
 def _scd_id(key: Column, at: Column) -> Column:
-    return F.md5(F.concat_ws("|", key.cast("string"), F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    stamp = F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.md5(F.concat_ws("|", key.cast("string"), stamp))
 
 
 def _stamp(value) -> Column:

@@ -711,7 +711,8 @@ def _(b: Blotter):
 # --- history ----------------------------------------------------------------------------
 
 TRADER_STATE = ["desk", "region"]
-HISTORY_COLUMNS = """trader_id, trader_name, coalesce(desk, 'none') as desk, region, cast(valid_from as varchar)
+HISTORY_COLUMNS = """trader_id, trader_name, coalesce(desk, 'none') as desk, region,
+    cast(valid_from as varchar)
     as valid_from, cast(valid_to as varchar) as valid_to, is_current"""
 
 
@@ -1071,7 +1072,9 @@ def _(b: Blotter):
         df.agg(F.lit(name).alias("layer"), F.count("*").alias("n"))
         for name, df in {**layers, "history": done.history}.items()
     ]
-    failed = [(f"failed check: {c.check_name}", c.failing_rows) for c in done.checks if not c.passed]
+    failed = [
+        (f"failed check: {c.check_name}", c.failing_rows) for c in done.checks if not c.passed
+    ]
     schema = "layer string, n bigint"
     return history.assemble(*counts, b.spark.createDataFrame(failed, schema))
 
@@ -1138,8 +1141,7 @@ def _(b: Blotter):
     done = windows.run_windows(b.spark, b.bronze(), lake, ["1998-01-05", "1998-01-04"], LOADED_AT)
     schema = "window_date string, bronze_row_count bigint, silver_row_count bigint"
     return b.spark.createDataFrame(
-        [tuple(d[c] for c in ("window_date", "bronze_row_count", "silver_row_count")) for d in done],
-        schema,
+        [(d["window_date"], d["bronze_row_count"], d["silver_row_count"]) for d in done], schema
     )
 
 
@@ -1182,7 +1184,8 @@ def _(b: Blotter):
 # --- open-ended snapshots -------------------------------------------------------------
 
 SNAPSHOT_SQL = """
-    select trader_id, coalesce(desk, 'none') as desk, region, dbt_valid_from, coalesce(dbt_valid_to, 'none') as dbt_valid_to,
+    select trader_id, coalesce(desk, 'none') as desk, region, dbt_valid_from,
+           coalesce(dbt_valid_to, 'none') as dbt_valid_to,
            md5(trader_id || '|' || dbt_valid_from || '.000000') as dbt_scd_id
     from (select trader_id, desk, region,
                  strftime(valid_from, '%Y-%m-%d 00:00:00') as dbt_valid_from,

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from fixtures import JANUARY, JUNE, SEED, traders, trades
 from ledgerlake import schemas
-from ledgerlake.operators import conform, upsert
+from ledgerlake.operators import upsert
 from ledgerlake.plans import windows
 from ledgerlake.session import shared_root, work_folder
 from ledgerlake.sinks import tables as sinks
