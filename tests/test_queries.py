@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerlake.plans.queries import ORACLES, QUERIES
 from tools.check_sql import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,11 +19,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem = compare(spark, con, FOLDER, name, oracle_sql()[name])
+    problem = compare(spark, con, FOLDER, name, ORACLES[name])
     # a few conditions do not occur in the smallest tables
     assert problem in (None, "empty")
