@@ -16,9 +16,12 @@ are never paired with each other. A pair is looked at if the sizes and the place
 shared value allow the similarity, passes if the sketch of the union says so, and counts
 if the full sets confirm it.
 
-What is left to chance: for sets above KEEP values, a pair at exactly the threshold is
-missed with a probability below 1e-8 (six standard deviations are allowed for). Smaller
-sets are compared exactly throughout. Shingles are 64-bit hashes.
+Sketches and sets are made from the texts wherever they are needed and never stored: they
+are larger than the texts.
+
+What is left to chance: for sets above KEEP (in the estimate ESTIMATE) values, a pair at
+exactly the threshold is missed with a probability below 1e-8, for six standard deviations
+are allowed for. Shingles are 64-bit hashes.
 
 Defined cases: null and empty texts, and those without a word, have no shingles and are
 linked with nothing. Texts of fewer words than a shingle are one shingle, the whole
@@ -43,6 +46,8 @@ from ledgerlake.llm.components import components
 WORDS = 5
 PERCENT = 80
 KEEP = 512
+ESTIMATE = 128
+BROADCAST = 500_000
 COUNTERS = 1 << 18
 PART = 1 << 22  # bytes hashed at a time
 
@@ -119,33 +124,43 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def sketches(docs: DataFrame, words: int, keep: int = KEEP) -> DataFrame:
-    """Per row: doc_id, n (size of the set), high and low (a digest of it), and the sketch.
-
-    Equal sets have equal digests; only the first of them in a task carries its sketch.
-    """
+def _texts(docs: DataFrame) -> DataFrame:
     python_workers(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), whole("text").alias("text"))
+
+
+def digested(docs: DataFrame, words: int) -> DataFrame:
+    """Per row: doc_id, n (size of the set), and high and low, a digest of it."""
 
     def read(batches):
-        seen = set()
         for batch in batches:
-            sizes, high, low, kept = [], [], [], []
+            sizes, high, low = [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingle_set(text, words)
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 sizes.append(len(values))
                 high.append(int.from_bytes(digest[:8], "little", signed=True))
                 low.append(int.from_bytes(digest[8:], "little", signed=True))
-                kept.append(values[: 0 if digest in seen else keep])
-                seen.add(digest)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *map(pa.array, (sizes, high, low)), _lists(kept)],
-                names=["doc_id", "n", "high", "low", "sketch"],
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (sizes, high, low))],
+                names=["doc_id", "n", "high", "low"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), whole("text").alias("text")).mapInArrow(
-        read, "doc_id long, n long, high long, low long, sketch array<long>"
-    )
+    return _texts(docs).mapInArrow(read, "doc_id long, n long, high long, low long")
+
+
+def _first_sketches(batches, words: int, keep: int):
+    """(set size, digest, sketch) of every set a task has not met before."""
+    seen = set()
+    for batch in batches:
+        found = []
+        for text in batch.column("text").to_pylist():
+            values = shingle_set(text, words)
+            digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+            if len(values) and digest not in seen:
+                seen.add(digest)
+                found.append((len(values), digest, values[:keep].view(np.int64)))
+        yield found
 
 
 def shared_least(n: int, percent: int, keep: int) -> int:
@@ -157,15 +172,28 @@ def shared_least(n: int, percent: int, keep: int) -> int:
     return max(1, min(exact, math.floor(keep * p - 6 * math.sqrt(keep * p * (1 - p)))))
 
 
-def fixed_counts(values: DataFrame, size: int) -> np.ndarray:
-    """How many values fall on each of ``size`` counters; that is all the driver gets."""
+def counted(docs: DataFrame, words: int, keep: int) -> np.ndarray:
+    """How many retained values fall on each of COUNTERS counters; the driver gets no more."""
+
+    def count(batches):
+        counts = np.zeros(COUNTERS, dtype=np.int64)
+        for found in _first_sketches(batches, words, keep):
+            if found:
+                values = np.concatenate([sketch for _, _, sketch in found])
+                counts += np.bincount(values % COUNTERS, minlength=COUNTERS)
+        there = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(there), pa.array(counts[there])], names=["counter", "times"]
+        )
+
     found = (
-        values.select(F.pmod("value", F.lit(size)).alias("counter"))
+        _texts(docs)
+        .mapInArrow(count, "counter long, times long")
         .groupBy("counter")
-        .agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("times"))
+        .agg(F.least(F.sum("times"), F.lit(2**31 - 1)).cast("int").alias("times"))
         .toArrow()
     )
-    counts = np.zeros(size, dtype=np.int32)
+    counts = np.zeros(COUNTERS, dtype=np.int32)
     counts[found["counter"].to_numpy()] = found["times"].to_numpy()
     return counts
 
@@ -191,66 +219,61 @@ def bit_table(values: DataFrame, most: int = 1 << 24) -> np.ndarray:
 
 
 def index_rows(
-    sketched: DataFrame, counts: np.ndarray, percent: int, keep: int, only: np.ndarray | None = None
+    docs: DataFrame,
+    words: int,
+    counts: np.ndarray,
+    percent: int,
+    keep: int,
+    only: np.ndarray | None = None,
 ) -> DataFrame:
     """The first values of each sketch with their place: value, high, low, place, n."""
-    context = sketched.sparkSession.sparkContext
-    shared = context.broadcast((counts, only))
+    shared = docs.sparkSession.sparkContext.broadcast((counts, only))
 
     def read(batches):
         counters, wanted = shared.value
-        for batch in batches:
-            sketch = batch.column("sketch")
-            flat = sketch.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sketch.value_lengths().to_numpy(zero_copy_only=False))
-            sizes = batch.column("n").to_pylist()
-            rows, values, places = [], [], []
-            begin = 0
-            for i, (end, n) in enumerate(zip(ends.tolist(), sizes, strict=True)):
-                own, begin = flat[begin:end], end
-                if not len(own):
-                    continue
+        for found in _first_sketches(batches, words, keep):
+            values, places, lengths = [], [], []
+            for n, _, own in found:
                 order = np.lexsort((own, counters[own % len(counters)]))
                 first = own[order[: len(own) - shared_least(n, percent, keep) + 1]]
                 at = np.arange(len(first), dtype=np.int32)
                 if wanted is not None:
                     good = wanted[first % len(wanted)]
                     first, at = first[good], at[good]
-                rows.append(np.full(len(first), i))
                 values.append(first)
                 places.append(at)
-            if not rows:
+                lengths.append(len(first))
+            if not found:
                 continue
-            row = pa.array(np.concatenate(rows))
+            parts = np.frombuffer(b"".join(d for _, d, _ in found), dtype="<i8").reshape(-1, 2)
+            sizes = np.array([n for n, _, _ in found], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(values)),
-                    batch.column("high").take(row),
-                    batch.column("low").take(row),
+                    *(pa.array(np.repeat(c, lengths)) for c in (parts[:, 0], parts[:, 1])),
                     pa.array(np.concatenate(places)),
-                    batch.column("n").take(row),
+                    pa.array(np.repeat(sizes, lengths)),
                 ],
                 names=["value", "high", "low", "place", "n"],
             )
 
-    rows = sketched.where(F.size("sketch") > 0).select("n", "high", "low", "sketch")
-    return rows.mapInArrow(read, "value long, high long, low long, place int, n long")
+    return _texts(docs).mapInArrow(read, "value long, high long, low long, place int, n long")
 
 
 def inverted_lists(
-    sketched: DataFrame, first_ids: DataFrame, percent: int, keep: int
+    docs: DataFrame, first_ids: DataFrame, words: int, percent: int, keep: int
 ) -> DataFrame:
     """(value, doc, place, n) for the values that two or more different sets retain."""
-    counts = fixed_counts(sketched.select(F.explode("sketch").alias("value")), COUNTERS)
-    rows = index_rows(sketched, counts, percent, keep)
+    counts = counted(docs, words, keep)
     several = stored(
-        rows.groupBy("value")
+        index_rows(docs, words, counts, percent, keep)
+        .groupBy("value")
         .agg(F.min("high").alias("least"), F.max("high").alias("most"))
         .where("least <> most")
         .select("value"),
         "minhash-values",
     )
-    rows = index_rows(sketched, counts, percent, keep, bit_table(several))
+    rows = index_rows(docs, words, counts, percent, keep, bit_table(several))
     return stored(
         rows.join(several, "value")
         .join(first_ids, ["high", "low"])
@@ -349,14 +372,16 @@ def estimated(a: np.ndarray, b: np.ndarray, keep: int) -> float:
     return float(np.count_nonzero(both <= union[-1])) / len(union)
 
 
-def confirmed(
-    docs: DataFrame, pairs: DataFrame, words: int, percent: int, keep: int
+def brought_together(
+    docs: DataFrame, pairs: DataFrame, words: int, most: int | None
 ) -> DataFrame:
-    """The pairs (a, b) that are links: full sets of the documents in question, from their texts."""
+    """Per pair (a, b) its ends: side, set size, and the set or its smallest values.
+
+    A table of bits lets a task make the sets of documents in question only. Up to
+    BROADCAST pairs are broadcast; more are joined by a shuffle.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("value")).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(bit_table(stored(wanted, "minhash-wanted")))
-    p = percent / 100
-    least = p - 6 * math.sqrt(p * (1 - p) / keep)
 
     def sets(batches):
         bits = shared.value
@@ -364,62 +389,97 @@ def confirmed(
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             rows = pa.array(np.flatnonzero(bits[ids % len(bits)]))
             texts = batch.column("text").take(rows).to_pylist()
+            whole_sets = [shingle_set(text, words) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(rows),
-                    _lists([shingle_set(text, words) for text in texts]),
+                    pa.array([len(x) for x in whole_sets], pa.int64()),
+                    _lists([x[:most] for x in whole_sets]),
                 ],
-                names=["doc_id", "values"],
+                names=["doc_id", "n", "values"],
             )
 
+    known = (
+        _texts(docs)
+        .where(F.col("doc_id").isNotNull())
+        .mapInArrow(sets, "doc_id long, n long, values array<long>")
+    )
+    ends = pairs.select(
+        "a", "b", F.posexplode(F.array("a", "b")).alias("side", "end")
+    )
+    if pairs.count() <= BROADCAST:
+        ends = F.broadcast(ends)
+    end = F.struct("side", "n", "values")
+    return (
+        known.join(ends, F.col("doc_id") == F.col("end"))
+        .groupBy("a", "b")
+        .agg(F.collect_list(end).alias("ends"))
+    )
+
+
+def matching(together: DataFrame, good) -> DataFrame:
+    """The pairs for which ``good(set size, values, set size, values)`` holds."""
+
     def check(batches):
         for batch in batches:
-            left, right = (batch.column(c) for c in ("left", "right"))
-            good = []
+            ends = batch.column("ends")
+            entries = ends.flatten()
+            sides, sizes = (entries.field(k).to_numpy(zero_copy_only=False) for k in ("side", "n"))
+            values = entries.field("values")
+            starts = values.offsets.to_numpy()
+            flat = values.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            bounds = np.concatenate([[0], np.cumsum(ends.value_lengths())])
+            kept = []
             for i in range(batch.num_rows):
-                x = left[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                y = right[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                good.append(False)
-                if len(x) > keep or len(y) > keep:
-                    if estimated(x, y, keep) < least:
-                        continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good[-1] = 100 * both >= percent * (len(x) + len(y) - both)
-            rows = pa.array(np.flatnonzero(good))
+                sets = ([], [])
+                for j in range(bounds[i], bounds[i + 1]):
+                    sets[sides[j]].append((sizes[j], flat[starts[j] : starts[j + 1]]))
+                kept.append(any(good(n, x, m, y) for n, x in sets[0] for m, y in sets[1]))
+            rows = pa.array(np.flatnonzero(kept))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(rows) for c in ("a", "b")], names=["a", "b"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long"), whole("text").alias("text"))
-    known = stored(
-        texts.where(F.col("doc_id").isNotNull()).mapInArrow(
-            sets, "doc_id long, values array<long>"
-        ),
-        "minhash-sets",
+    return together.mapInArrow(check, "a long, b long")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that are links: likely by the sketch of the union, certain by the full sets."""
+    p = percent / 100
+    least = p - 6 * math.sqrt(p * (1 - p) / ESTIMATE)
+
+    def likely(n, x, m, y):
+        if 100 * min(n, m) < percent * max(n, m):
+            return False
+        return estimated(x, y, ESTIMATE) >= (least if max(n, m) > ESTIMATE else p - 1e-9)
+
+    def certain(n, x, m, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    near = stored(
+        matching(brought_together(docs, pairs, words, ESTIMATE), likely), "minhash-likely"
     )
-    left = known.select(F.col("doc_id").alias("a"), F.col("values").alias("left"))
-    right = known.select(F.col("doc_id").alias("b"), F.col("values").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return stored(both.mapInArrow(check, "a long, b long").distinct(), "minhash-links")
+    return stored(matching(brought_together(docs, near, words, None), certain), "minhash-links")
 
 
 def near_groups(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, keep: int = KEEP
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
-    sketched = stored(sketches(docs, words, keep), "minhash-sketches")
-    usable = sketched.where("n > 0 and doc_id is not null")
+    known = stored(digested(docs, words), "minhash-digests")
+    usable = known.where("n > 0 and doc_id is not null")
     first_ids = stored(
         usable.groupBy("high", "low").agg(F.min("doc_id").alias("first_id")), "minhash-first"
     )
-    lists = inverted_lists(sketched.where("n > 0"), first_ids, percent, keep)
+    lists = inverted_lists(docs, first_ids, words, percent, keep)
     tried = stored(first_round(lists, percent, keep), "minhash-first-pairs")
-    links = confirmed(docs, tried, words, percent, keep)
+    links = confirmed(docs, tried, words, percent)
     rest = second_round(lists, components(links), percent, keep).join(
         tried, ["a", "b"], "left_anti"
     )
     rest = stored(rest, "minhash-second-pairs")
-    links = links.union(confirmed(docs, rest, words, percent, keep))
+    links = links.union(confirmed(docs, rest, words, percent))
     # rows that share a doc_id are one document, whatever their texts
     same_id = (
         usable.join(first_ids, ["high", "low"])
@@ -442,7 +502,7 @@ def near_groups(
         "minhash-named",
     )
     same = (F.col("high") == F.col("set_high")) & (F.col("low") == F.col("set_low"))
-    linked = sketched.select("doc_id", "n", "high", "low").join(named, same & (F.col("n") > 0), "left")
+    linked = known.join(named, same & (F.col("n") > 0), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return linked.select(
         "doc_id",
