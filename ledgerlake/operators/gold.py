@@ -45,7 +45,10 @@ def totals_through(
 
     A small dimension is broadcast. Otherwise the fact is first summed per key, so a
     key holding much of the fact reaches the join as one row per other group column.
+    ``how`` is ``left`` or ``inner``: only groups of the fact have totals.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"totals of a fact need a left or inner join, not {how}")
     sums = {
         "_value": F.sum("trade_value"),
         "_rows": F.count("*"),

@@ -37,11 +37,25 @@ def scd2_init(df: DataFrame, load_date) -> DataFrame:
 
 
 def current(history: DataFrame) -> DataFrame:
-    return history.where(F.col("is_current"))
+    """Versions valid until further notice.
+
+    The end of validity is named as well: stored history is partitioned by it, so only
+    the folder of current versions is read.
+    """
+    endless = (F.col("valid_to") == forever()) | F.col("valid_to").isNull()
+    return history.where(F.col("is_current") & endless)
 
 
 def historical(history: DataFrame) -> DataFrame:
-    return history.where(~F.col("is_current"))
+    """All other versions, those without a mark included."""
+    return history.where(~F.coalesce("is_current", F.lit(False)))
+
+
+def unrepeated(snapshot: DataFrame, key: str) -> DataFrame:
+    """The snapshot, refused if it holds a key twice: both rows would become current."""
+    if not snapshot.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError(f"{key} repeats in the snapshot; reduce it with latest_per_key")
+    return snapshot
 
 
 def scd2_changes(
@@ -134,12 +148,12 @@ def scd2_apply(
     batch_date,
     null_safe: bool = True,
 ) -> DataFrame:
-    """History after one dated snapshot, which holds at most one row per key.
+    """History after one dated snapshot, which must hold at most one row per key.
 
     Applying the same batch again changes nothing. A change dated on or before the
     start of the version it would replace is refused; ``scd2_refused`` returns those.
     """
-    pairs = _paired(current(history), snapshot, key, "full_outer")
+    pairs = _paired(current(history), unrepeated(snapshot, key), key, "full_outer")
     opens = F.col("old").isNull() | (
         F.col("new").isNotNull()
         & differs(compare, "old", "new", null_safe)
@@ -158,10 +172,12 @@ def scd2_apply(
 def scd2_refused(
     history: DataFrame, snapshot: DataFrame, key: str, compare: Sequence[str], batch_date
 ) -> DataFrame:
-    """Snapshot rows too late to apply: they differ from a version as new as the batch."""
+    """Snapshot rows that a batch leaves out: those without a key, and those too late to
+    apply, which differ from a version as new as the batch."""
     newer = current(history).where(F.col("valid_from") >= day(batch_date))
     pairs = _paired(newer, snapshot, key, "inner")
-    return pairs.where(differs(compare, "old", "new")).select("new.*")
+    late = pairs.where(differs(compare, "old", "new")).select("new.*")
+    return late.unionByName(snapshot.where(F.col(key).isNull()))
 
 
 def _chained(states: DataFrame, key: str, compare: Sequence[str], date: str) -> DataFrame:

@@ -115,15 +115,18 @@ def join_as_of(
     fact_date: str,
     how: str = "left",
     limit: int = BROADCAST_LIMIT,
-    span: tuple | None = None,
 ) -> DataFrame:
     """Attach the version valid on the fact's date; both ends of a version count.
 
+    ``how`` is ``left`` or ``inner``: versions without a fact are not results here.
+
     A history that measures small is broadcast. A larger one is joined on (key, month):
     each version is repeated for the months it covers inside the fact's date span, so
     a row meets only versions of its own month and a hot key spreads over all months.
-    ``span`` gives (first, last) fact date if known; otherwise one aggregate finds it.
+    One aggregate finds that span, so no version a fact needs is cut off.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"an as-of join is left or inner, not {how}")
     versions = history.drop("is_current")
     inside = F.col(fact_date).between(F.col("valid_from"), F.col("valid_to"))
     attributes = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
@@ -132,7 +135,7 @@ def join_as_of(
         right, on = F.broadcast(versions.withColumnRenamed(key, "_key")), F.lit(True)
         left = fact
     else:
-        low, high = span or fact.agg(F.min(fact_date), F.max(fact_date)).first()
+        low, high = fact.agg(F.min(fact_date), F.max(fact_date)).first()
         low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
         months = F.sequence(
             F.trunc(F.greatest("valid_from", low), "month"),

@@ -11,6 +11,13 @@ from ledgerlake.operators.gold import total_of, totals
 from ledgerlake.operators.joins import BROADCAST_LIMIT, keep_keys
 
 
+def caller(df: DataFrame, principal: str | None) -> str:
+    """The login a request counts for: the one given, else the session's own user."""
+    if principal is not None:
+        return principal
+    return df.sparkSession.range(1).select(F.session_user()).first()[0]
+
+
 def visible_keys(mapping: DataFrame, principal: str | Column | None, key: str) -> DataFrame:
     """Keys mapped to a login; the session's own user when none is given."""
     who = principal if isinstance(principal, Column) else F.lit(principal)
@@ -27,6 +34,7 @@ def row_filter(
     key: str = "trader_id",
 ) -> DataFrame:
     """Rows of the caller's own keys; an admin sees all, an unknown login nothing."""
+    principal = caller(df, principal)
     if principal in admins:
         return df
     return keep_keys(df, visible_keys(mapping, principal, key), [key], BROADCAST_LIMIT)
@@ -41,6 +49,7 @@ def row_filter_via_dim(
     key: str = "trader_id",
 ) -> DataFrame:
     """Restrict the dimension; the relationship carries the restriction to the fact."""
+    principal = caller(fact, principal)
     if principal in admins:
         return fact
     seen = row_filter(dim, mapping, principal, (), key).select(key)
@@ -94,17 +103,24 @@ def _visible(per_key: DataFrame, who: Sequence[Column]) -> DataFrame:
     )
 
 
-def create_visibility_function(spark: SparkSession, name: str, mapping_table: str) -> None:
+def create_visibility_function(
+    spark: SparkSession, name: str, mapping_table: str, admins: Collection[str] = ()
+) -> None:
     """A SQL table function: one row when a login may see a key, none otherwise.
 
-    Use it as ``FROM fact, LATERAL name(fact.trader_id, login)``.
+    Admins see every key. Use it as ``FROM fact, LATERAL name(fact.trader_id, login)``.
     """
+
+    def quoted(login: str) -> str:
+        return "'" + login.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    listed = ", ".join(["NULL", *map(quoted, admins)])
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(key BIGINT, login STRING)
         RETURNS TABLE (is_visible INT)
         RETURN SELECT DISTINCT 1 FROM {mapping_table} m
-               WHERE m.trader_id = key AND m.login_name = login
+               WHERE (m.trader_id = key AND m.login_name = login) OR login IN ({listed})
         """
     )
 
@@ -114,13 +130,13 @@ def create_secured_view(
 ) -> None:
     """A view that shows each reader their own rows, evaluated anew in every query.
 
-    Bind it once per protected table (fact and dimension) with the same map.
+    Bind it once per protected table (fact and dimension) with the same map. The names are
+    values in the plan, never parts of a text.
     """
-    spark.sql(
-        f"""
-        CREATE OR REPLACE TEMPORARY VIEW {name} AS
-        SELECT * FROM {table}
-        WHERE {key} IN (SELECT {key} FROM {mapping_table} WHERE login_name = session_user())
-           OR session_user() = '{admin}'
-        """
-    )
+    me = F.session_user()
+    mine = spark.table(mapping_table).where(F.col("login_name") == me)
+    mine = mine.select(F.col(key).alias("_mine")).distinct()
+    rows = spark.table(table)
+    seen = rows.join(mine, F.col(key) == F.col("_mine"), "left")
+    seen = seen.where(F.col("_mine").isNotNull() | (me == F.lit(admin)))
+    seen.select(*rows.columns).createOrReplaceTempView(name)

@@ -47,8 +47,12 @@ def upsert_partitions(
 
     Only partitions that hold a matched key or receive a new row are rewritten. They
     are found from the key and partition columns alone; the list brought to the driver
-    has at most one entry per partition folder.
+    has at most one entry per partition folder. Rows without a partition value have a
+    folder too. A matched row stays in its folder, so the partition column cannot be
+    updated.
     """
+    if partition in update_cols:
+        raise ValueError(f"{partition} decides the folder of a row and cannot be updated")
     target = read_or_create(spark, path, source.schema, partition)
     source = source.persist()
     try:
@@ -56,7 +60,9 @@ def upsert_partitions(
         touched = matched.select(partition).union(source.select(partition)).distinct()
         values = [row[0] for row in touched.collect()]
         if values:
-            part = target.where(F.col(partition).isin(values))
+            named = F.col(partition).isin([v for v in values if v is not None])
+            unnamed = F.col(partition).isNull() if None in values else F.lit(False)
+            part = target.where(named | unnamed)
             write_partitioned(upsert(part, source, keys, update_cols), path, partition)
     finally:
         source.unpersist()

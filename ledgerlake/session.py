@@ -17,6 +17,7 @@ SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_work_folders: set[str] = set()
 
 
 def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
@@ -26,6 +27,7 @@ def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.files.minPartitionNum", str(cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -55,5 +57,18 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder for tables one run writes and reads back."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder for tables one run writes and reads back.
+
+    All paths of an application lie in one folder, which is removed when it ends: until
+    then a result may still read them.
+    """
+    root, app = shared_root(spark), spark.sparkContext.applicationId
+    folder = f"{root}/work-{app}"
+    if folder not in _work_folders:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _work_folders.add(folder)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"

@@ -27,6 +27,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .csv(path)
     )
@@ -83,15 +85,24 @@ def changed_versions(history: DataFrame, batch_date) -> DataFrame:
     return history.where(F.col("valid_to").isin(ended, F.lit(END_OF_TIME).cast("date")))
 
 
+def restored(spark: SparkSession, table: str) -> None:
+    """Undo a publication that stopped between its two renames: put the old table back."""
+    previous = f"{table}__previous"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(previous):
+        spark.sql(f"ALTER TABLE {previous} RENAME TO {table}")
+
+
 def publish(spark: SparkSession, df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace a table that ``df`` may itself read.
 
     The rows are written to a second table first and renamed into place, so a failed
-    write leaves the old table as it was. The two renames are not one atomic step.
+    write leaves the old table as it was. The two renames are not one atomic step; if a
+    run stops between them, the next ``publish`` or ``read_or_init`` puts the old table back.
     With a ``path`` every publication gets its own folder below it, and the files of
     earlier ones stay there.
     """
     staged, previous = f"{table}__next", f"{table}__previous"
+    restored(spark, table)
     writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", f"{path}/{uuid.uuid4().hex}")
@@ -122,5 +133,5 @@ def store_failures(spark: SparkSession, failing: DataFrame, table: str, path=Non
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> Sequence:
-    """Values of a partition column, from the folder names."""
+    """Distinct values of a partition column."""
     return [r[0] for r in spark.read.parquet(path).select(column).distinct().collect()]

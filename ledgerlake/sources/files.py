@@ -10,18 +10,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: How CSV files are read: by header names, cells as they are, an empty quoted cell as
+#: empty text and an unquoted one as NULL, stamps with a blank or a T and up to nine digits.
+CSV_READ = {
+    "header": True,
+    "escape": '"',
+    "enforceSchema": False,
+    "nullValue": "\x00",
+    "timestampNTZFormat": "yyyy-MM-dd[' ']['T']HH:mm:ss[.SSSSSSSSS]",
+}
+
+
 def read_csv(
-    spark: SparkSession, path, schema: T.StructType | None = None, corrupt: str | None = None
+    spark: SparkSession,
+    path,
+    schema: T.StructType | None = None,
+    corrupt: str | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """CSV with a header. Without a schema Spark reads the files twice to guess one.
 
+    A header that names other columns than the schema, or in another order, is an error.
     ``corrupt`` names a column that keeps the text of lines that do not fit the schema.
+    Quoted cells may hold line breaks; files known to have none can be split among tasks
+    with ``line_breaks=False``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-    )
+    reader = spark.read.options(**CSV_READ).option("multiLine", line_breaks)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     if corrupt:
@@ -34,21 +48,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def partition_count(df: DataFrame) -> int:
-    """Number of pieces Spark would read or compute the rows in."""
-    return df.rdd.getNumPartitions()
-
-
-def spread(df: DataFrame, *keys: str, most: int = 32) -> DataFrame:
-    """Hash a small table that comes in too few pieces over all cores.
-
-    Only a table of fewer than ``most`` pieces is moved, some gigabytes at the default
-    split size, so even a key with much of the table stays a bounded task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if partition_count(df) < min(cores, most) else df
-
-
 def read_or_create(
     spark: SparkSession, path: str, schema: T.StructType, *partitions: str
 ) -> DataFrame:
@@ -59,8 +58,19 @@ def read_or_create(
 
 
 def read_window(spark: SparkSession, root: str, window_date) -> DataFrame:
-    """One day of a table stored by window_date; other folders are not listed for reading."""
-    return spark.read.parquet(root).where(F.col("window_date") == F.lit(window_date).cast("date"))
+    """One day of a table stored by window_date, from that day's folder alone.
+
+    A day that was never stored has no rows; only then are the other folders listed.
+    """
+    day = F.lit(window_date).cast("date")
+    reader = spark.read.option("basePath", root)
+    try:
+        rows = reader.parquet(f"{root}/window_date={window_date}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.read.parquet(root)
+    return rows.where(F.col("window_date") == day)
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:

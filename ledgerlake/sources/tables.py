@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import aligned
-from ledgerlake.sinks.tables import publish
+from ledgerlake.sinks.tables import publish, restored
 from ledgerlake.sources.files import read_csv
 
 
@@ -18,6 +18,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def read_or_init(spark: SparkSession, name: str, first: Callable[[], DataFrame]) -> DataFrame:
     """The stored table, or what the first run starts from."""
+    restored(spark, name)
     return spark.table(name) if spark.catalog.tableExists(name) else first()
 
 

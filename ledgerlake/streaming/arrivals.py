@@ -8,12 +8,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.conform import distinct_rows
-from ledgerlake.sources.files import read_or_create
+from ledgerlake.sources.files import CSV_READ, read_or_create
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
-    """A digest of the whole row, so copies are found from one column of the target."""
-    row = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    """A digest of the whole row, so copies are found from one column of the target.
+
+    Every cell enters in full, with its length before it; a missing one has its own mark.
+    """
+
+    def cell(name: str, kind: str):
+        value = F.hex(F.col(name)) if kind == "binary" else F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    row = F.concat_ws("|", *(cell(c, kind) for c, kind in df.dtypes))
     return df.withColumn("row_digest", F.unhex(F.sha2(row, 256)))
 
 
@@ -73,11 +81,10 @@ def ingest_stream(
     """
     reader = (
         spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_READ)
+        .option("multiLine", True)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

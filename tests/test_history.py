@@ -308,3 +308,33 @@ def test_timestamp_snapshot(spark, rows):
     after = h.snapshot_timestamp(table, source, "id", "at")
     assert rows(after, "id", "v") == [(1, "a"), (2, "b"), (2, "c")]
     assert rows(after.where("dbt_valid_to is not null"), "id", "v") == [(2, "b")]
+
+
+# --- guards -----------------------------------------------------------------------------
+
+
+def test_as_of_join_is_the_same_on_both_paths(spark, rows):
+    table = after_september(spark)
+    fact = spark.createDataFrame(
+        [(1, 1, None), (2, 1, date(1990, 1, 1)), (3, 4, date(2026, 7, 1)), (4, None, date(2026, 7, 1))],
+        "id int, trader_id long, d date",
+    )
+    for how in ("left", "inner"):
+        for df in (fact, fact.limit(0)):
+            small, large = (
+                joins.join_as_of(df, table, "trader_id", "d", how, limit)
+                for limit in (joins.BROADCAST_LIMIT, 0)
+            )
+            assert rows(small) == rows(large)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError, match="left or inner"):
+            joins.join_as_of(fact, table, "trader_id", "d", how)
+
+
+def test_repeated_and_missing_keys_are_not_lost(spark):
+    table, batch = after_june(spark), traders(spark, SEPTEMBER)
+    with pytest.raises(ValueError, match="repeats"):
+        h.scd2_apply(table, batch.union(batch), "trader_id", STATE, "2026-09-01")
+    keyless = batch.limit(1).withColumn("trader_id", F.lit(None).cast("long"))
+    refused = h.scd2_refused(table, batch.unionByName(keyless), "trader_id", STATE, "2026-09-01")
+    assert [r.trader_id for r in refused.collect()] == [None]

@@ -237,8 +237,61 @@ def test_shared_folder_comes_from_the_session(spark):
     assert work_folder(spark, "a") != work_folder(spark, "a")
 
 
-def test_only_small_tables_are_spread(spark):
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 8)
-    assert files.partition_count(files.spread(few, "id")) == 8
-    assert files.partition_count(files.spread(few, "id", most=2)) == 2
-    assert files.spread(many, "id") is many
+def test_csv_keeps_every_cell(spark, rows, tmp_path):
+    schema = "id long, note string, at timestamp_ntz"
+    data = spark.createDataFrame(
+        [
+            (1, "a\nb", None),
+            (2, "  pad  ", None),
+            (3, "", None),
+            (4, None, None),
+            (5, 'say "x", y', None),
+        ],
+        schema,
+    )
+    sinks.write_csv(data, str(tmp_path / "cells"))
+    assert rows(files.read_csv(spark, str(tmp_path / "cells"), data.schema)) == rows(data)
+
+
+def test_csv_stamps_and_headers(spark, tmp_path):
+    path = tmp_path / "stamps.csv"
+    path.write_text("id,at\n1,2026-05-01 10:12:00.1230000\n2,2026-05-01T10:12:00\n3,2026-05-01 10:12:00\n")
+    schema = spark.createDataFrame([], "id long, at timestamp_ntz").schema
+    read = {r.id: str(r["at"]) for r in files.read_csv(spark, str(path), schema).collect()}
+    assert read == {
+        1: "2026-05-01 10:12:00.123000",
+        2: "2026-05-01 10:12:00",
+        3: "2026-05-01 10:12:00",
+    }
+    other = tmp_path / "other.csv"
+    other.write_text("at,id\n2026-05-01 10:12:00,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(other), schema).collect()
+
+
+def test_rows_a_microsecond_apart_both_stay(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for stamp in ("2026-05-01 10:00:00.000001", "2026-05-01 10:00:00.000002"):
+        batch = spark.sql(f"select 1 as id, timestamp_ntz'{stamp}' as at")
+        arrivals.append_new(spark, batch, out, "2026-05-01", "at")
+    assert arrivals.read_ingested(spark, out).count() == 2
+
+
+def test_upsert_keeps_rows_without_a_partition(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "id long, v long, d date"
+    for batch in ([(1, 10, None), (2, 20, None)], [(3, 30, None), (2, 21, None)]):
+        upsert.upsert_partitions(spark, path, spark.createDataFrame(batch, schema), ["id"], ["v"], "d")
+    assert rows(spark.read.parquet(path), "id", "v") == [(1, 10), (2, 21), (3, 30)]
+    with pytest.raises(ValueError, match="folder"):
+        upsert.upsert_partitions(spark, path, spark.createDataFrame([], schema), ["id"], ["d"], "d")
+
+
+def test_a_stop_between_renames_loses_nothing(spark):
+    sinks.publish(spark, spark.range(3).toDF("id"), "renamed_halfway")
+    spark.sql("ALTER TABLE renamed_halfway RENAME TO renamed_halfway__previous")
+    kept = catalog.read_or_init(spark, "renamed_halfway", lambda: spark.range(0).toDF("id"))
+    assert kept.count() == 3
+    spark.sql("ALTER TABLE renamed_halfway RENAME TO renamed_halfway__previous")
+    sinks.publish(spark, spark.range(5).toDF("id"), "renamed_halfway")
+    assert spark.table("renamed_halfway").count() == 5
+    spark.sql("DROP TABLE renamed_halfway")

@@ -140,3 +140,20 @@ def test_build_stores_checked_layers_and_keeps_history(spark, tmp_path):
         medallion.build(spark, trades(spark), lost, lake, "2026-07-01")
     path = f"{lake}/gold_dim_trader_scd2"
     assert spark.read.parquet(path).count() == 10
+
+
+def test_the_sessions_own_user_may_be_admin(spark):
+    me = spark.range(1).select(F.session_user()).first()[0]
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "trader_id long")
+    logins = spark.createDataFrame([(2, "it's")], "trader_id long, login_name string")
+    assert security.row_filter(fact, logins, None, {me}).count() == 3
+    assert security.row_filter_via_dim(fact, fact, logins, None, {me}).count() == 3
+    assert security.row_filter(fact, logins, None, {"other"}).count() == 0
+    logins.createOrReplaceTempView("quoted_logins")
+    fact.createOrReplaceTempView("quoted_fact")
+    security.create_visibility_function(spark, "sees", "quoted_logins", ["o'admin"])
+    query = "select f.trader_id from quoted_fact f, lateral sees(f.trader_id, {who})"
+    assert spark.sql(query.format(who="\"o'admin\"")).count() == 3
+    assert spark.sql(query.format(who="\"it's\"")).count() == 1
+    security.create_secured_view(spark, "nobody", "quoted_fact", "quoted_logins", "' or 1=1 --")
+    assert spark.table("nobody").count() == 0
