@@ -20,7 +20,7 @@ Sketches and sets are made from the texts wherever they are needed and never sto
 are larger than the texts.
 
 What is left to chance: for sets above KEEP (in the estimate ESTIMATE) values, a pair at
-exactly the threshold is missed with a probability below 1e-8, for six standard deviations
+exactly the threshold is missed with a probability below 1e-7, for six standard deviations
 are allowed for. Shingles are 64-bit hashes.
 
 Defined cases: null and empty texts, and those without a word, have no shingles and are
