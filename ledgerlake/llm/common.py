@@ -51,6 +51,14 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until the table has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def hot_values(df: DataFrame, value: str, purpose: str, share: int = 1000, least: int = 64):
     """The values that more than one in ``share`` rows hold, and ``least`` rows or more.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import hot_values, stored, whole
+from ledgerlake.llm.common import fresh_name, hot_values, stored, whole
 
 BLOCK = 16384
 
@@ -126,5 +126,6 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = fresh_name(docs, "kept_id")
+    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias(kept_id))
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")

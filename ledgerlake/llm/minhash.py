@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import python_workers, stored, whole
+from ledgerlake.llm.common import fresh_name, python_workers, stored, whole
 from ledgerlake.llm.components import components
 
 WORDS = 5
@@ -514,5 +514,7 @@ def near_groups(
 
 def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    gone = near_groups(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone_id = fresh_name(docs, "gone_id")
+    gone = near_groups(docs, words, percent).where("not kept")
+    gone = gone.select(F.col("doc_id").alias(gone_id))
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")

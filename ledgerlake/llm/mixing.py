@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, stored, whole
+from ledgerlake.llm.common import WORD, fresh_name, stored, whole
 
 MAX_REPEAT = 3
 WEIGHTS = (1, 2, 3)
@@ -169,15 +169,16 @@ def emit(docs: DataFrame, **settings) -> DataFrame:
 
     Rows that repeat a doc_id share the copies of the first of them.
     """
+    of_id, copies, copy = (fresh_name(docs, n) for n in ("of_id", "copies", "copy"))
     chosen = (
         plan(docs, **settings)
-        .groupBy(F.col("doc_id").alias("_mix_id"))
-        .agg(F.max("copies").alias("_mix_copies"))
-        .where("_mix_copies > 0")
+        .groupBy(F.col("doc_id").alias(of_id))
+        .agg(F.max("copies").alias(copies))
+        .where(F.col(copies) > 0)
     )
     return (
-        docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+        docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(of_id)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
         .select(*docs.columns)
     )
 

@@ -17,7 +17,8 @@ a handful of totals.
 
 Defined cases: a null text is empty and judged as such. Null hosts and paths are groups of
 their own. Labels that are null, or whose document is missing, are not used; of several
-labels of a document each counts. Without labels of both kinds the evidence is 0 and every
+labels of a document each counts. Rows that share an id, or have none, are judged one by
+one. Without labels of both kinds the evidence is 0 and every
 document has the prior rate (START). Rows that repeat are judged alike and returned each;
 an empty table gives no rows; other columns are not read.
 """
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import python_workers, stored, whole
+from ledgerlake.llm.common import fresh_name, python_workers, stored, whole
 
 SAMPLE = 20_000
 START = 0.8
@@ -145,8 +146,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     return weights
 
 
+def row_digest(host: Column, path: Column) -> Column:
+    """Names a row by all that its verdict depends on, as ids may repeat or be missing."""
+    cells = (F.col("doc_id").cast("string"), host.cast("string"), path.cast("string"), whole("text"))
+    marked = [
+        F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells
+    ]
+    return F.unhex(F.sha2(F.concat(*marked), 256))
+
+
 def evidence(docs: DataFrame, weights: np.ndarray, host: Column, path: Column) -> DataFrame:
-    """Per row: doc_id, host, path and evidence, the log-odds its text alone speaks for."""
+    """Per row: doc_id, host, path, row_digest and evidence, the log-odds its text alone
+    speaks for."""
     python_workers(docs.sparkSession)
 
     def read(batches):
@@ -159,9 +170,12 @@ def evidence(docs: DataFrame, weights: np.ndarray, host: Column, path: Column) -
         F.col("doc_id").cast("long"),
         host.cast("string").alias("host"),
         path.cast("string").alias("path"),
+        row_digest(host, path).alias("row_digest"),
         whole("text").alias("text"),
     )
-    return rows.mapInPandas(read, "doc_id long, host string, path string, evidence double")
+    return rows.mapInPandas(
+        read, "doc_id long, host string, path string, row_digest binary, evidence double"
+    )
 
 
 def strength(rates: DataFrame, towards: str) -> float:
@@ -189,7 +203,7 @@ def _log_odds(p: Column) -> Column:
     return F.log(q / (1 - q))
 
 
-def judged(
+def posteriors(
     docs: DataFrame,
     labels: DataFrame,
     host: Column | None = None,
@@ -197,7 +211,7 @@ def judged(
     sample: int = SAMPLE,
     reject: float = REJECT,
 ) -> DataFrame:
-    """Per row: doc_id, p_text, host_rate, path_rate, posterior and kept."""
+    """Per row: row_digest, doc_id, p_text, host_rate, path_rate, posterior and kept."""
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
     rows = stored(evidence(docs, train(docs, labels, sample), host, path), "quality-evidence")
@@ -233,6 +247,7 @@ def judged(
     joint = F.col("evidence") + _log_odds(others)
     posterior = 1 / (1 + F.exp(-joint))
     return rows.join(paths, same).select(
+        "row_digest",
         "doc_id",
         "p_text",
         "host_rate",
@@ -242,7 +257,15 @@ def judged(
     )
 
 
+def judged(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+    """Per row: doc_id, p_text, host_rate, path_rate, posterior and kept."""
+    return posteriors(docs, labels, **parameters).drop("row_digest")
+
+
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    gone = judged(docs, labels).where("not kept").select(F.col("doc_id").alias("_rejected"))
-    return docs.join(gone, F.col("doc_id") == F.col("_rejected"), "left_anti")
+    rejected = fresh_name(docs, "rejected")
+    gone = posteriors(docs, labels).where("not kept")
+    gone = gone.select(F.col("row_digest").alias(rejected))
+    digest = row_digest(F.col("source"), F.col("lang"))
+    return docs.join(gone, digest == F.col(rejected), "left_anti")
