@@ -49,7 +49,8 @@ class Check:
     """One check of a table.
 
     ``fails`` marks failing rows, so all such checks of a table share one scan;
-    ``rows`` builds the failing rows where that takes a join or a group.
+    ``rows`` builds the failing rows where that takes a join or a group, and ``count``
+    counts them where one aggregate of the table can do so nevertheless.
     """
 
     name: str
@@ -57,6 +58,11 @@ class Check:
     fails: Column | None = None
     rows: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
     severity: str = "error"
+    count: Column | None = None
+
+    @property
+    def counted(self) -> Column | None:
+        return F.count_if(self.fails) if self.fails is not None else self.count
 
     def failing(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         return self.rows(tables) if self.rows else tables[self.table].where(self.fails)
@@ -80,6 +86,7 @@ def check_accepted(table: str, column: str, values: Sequence, severity: str = "e
         None,
         lambda t: accepted_values(t[table], column, values),
         severity,
+        F.count_distinct(F.when(~F.col(column).isin(list(values)), F.col(column))),
     )
 
 
@@ -106,18 +113,16 @@ def check_expression(name: str, table: str, fails: Column, severity: str = "erro
 def run_checks(tables: Mapping[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
     """One row per check: name, table, severity, failing rows, passed.
 
-    Row-level checks of one table are counted together in one aggregate.
+    Checks of one table that need no join or group are counted together in one aggregate.
     """
     results = []
-    for table in dict.fromkeys(c.table for c in suite if c.fails is not None):
-        group = [c for c in suite if c.table == table and c.fails is not None]
-        counts = tables[table].agg(
-            *[F.count_if(c.fails).alias(f"_{i}") for i, c in enumerate(group)]
-        )
+    for table in dict.fromkeys(c.table for c in suite if c.counted is not None):
+        group = [c for c in suite if c.table == table and c.counted is not None]
+        counts = tables[table].agg(*[c.counted.alias(f"_{i}") for i, c in enumerate(group)])
         lines = [_line(c, F.col(f"_{i}")) for i, c in enumerate(group)]
         results.append(counts.select(F.inline(F.array(*lines))))
     for c in suite:
-        if c.fails is None:
+        if c.counted is None:
             counted = c.failing(tables).agg(F.count("*").alias("_n"))
             results.append(counted.select(F.inline(F.array(_line(c, F.col("_n"))))))
     rows = reduce(DataFrame.unionByName, results)

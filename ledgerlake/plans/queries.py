@@ -455,6 +455,66 @@ def _(b: Blotter):
     return days.where(calendar.is_business_day(F.col("full_date"))).select("full_date", "day_name")
 
 
+@query(
+    "first_business_days",
+    sql="""with start as (select min(cast(o_orderdate as date)) as a from orders),
+           days as (select cast(unnest(generate_series(a, a + 60, interval 1 day)) as date) as d
+                    from start)
+           select cast(d as varchar) as full_date from days where isodow(d) < 6
+           order by d limit 30""",
+)
+def _(b: Blotter):
+    """The thirty business days from the first order on."""
+    start = b.table("orders").agg(F.min("o_orderdate").cast("date")).first()[0]
+    return calendar.business_days(b.spark, start, 30)
+
+
+@query(
+    "preview_rows",
+    "silver_trades",
+    sql="""select trade_id, trader_id, trade_type from silver_trades
+           where trade_id = (select max(trade_id) from silver_trades)""",
+)
+def _(b: Blotter):
+    silver = b.silver()
+    last = silver.agg(F.max("trade_id")).first()[0]
+    found = ranking.preview(silver, 5, F.col("trade_id") == last)
+    return found.select("trade_id", "trader_id", "trade_type")
+
+
+@query(
+    "control_total",
+    "gold_daily",
+    "silver_trades",
+    sql="""select cast(sum(total_trade_value) as double) as "Total Trade Value" from gold_daily""",
+)
+def _(b: Blotter):
+    """The measure over Gold, after it was held against the total of Silver."""
+    silver = b.silver()
+    expected = silver.agg(gold.total_of("trade_value")).first()[0]
+    result = measures.measure(gold.gold_daily(silver), "Total Trade Value")
+    measures.assert_total(result, "Total Trade Value", expected)
+    return result
+
+
+@query(
+    "coalesced_keys",
+    "first_book",
+    "silver_trades",
+    sql="""select coalesce(b.trade_id, s.trade_id) as trade_id, b.trader_id as booked_by,
+                  s.trader_id as traded_by
+           from first_book as b full join silver_trades as s on b.trade_id = s.trade_id""",
+)
+def _(b: Blotter):
+    """One key out of both sides of a full outer join."""
+    book = b.first_book().select(F.col("trade_id").alias("book_id"), F.col("trader_id").alias("booked_by"))
+    silver = b.silver().select(F.col("trade_id").alias("silver_id"), F.col("trader_id").alias("traded_by"))
+    both = book.join(silver, F.col("book_id") == F.col("silver_id"), "full_outer")
+    return both.select(
+        columns.first_present("book_id", "silver_id").alias("trade_id"), "booked_by", "traded_by"
+    )
+
+
 @query(
     "customers_with_orders",
     sql="""select c_mktsegment, count(*) as customers from customer
@@ -1141,6 +1201,50 @@ def _(b: Blotter):
     )
 
 
+@query(
+    "window_month",
+    "bronze_trades",
+    "silver_trades",
+    sql="""select cast(d as varchar) as window_date,
+                  (select count(*) from bronze_trades where trade_date = d) as bronze_row_count,
+                  (select count(*) from silver_trades where trade_date = d) as silver_row_count
+           from (select cast(unnest(generate_series(date '1998-01-01', date '1998-01-31',
+                                                    interval 1 day)) as date) as d) as days""",
+)
+def _(b: Blotter):
+    """A month of windows in one load."""
+    days = [f"1998-01-{day:02d}" for day in range(1, 32)]
+    return windows.load_windows(
+        b.spark, b.bronze(), work_folder(b.spark, "month"), days, LOADED_AT
+    )
+
+
+@query(
+    "upsert_stored",
+    "first_book",
+    "silver_trades",
+    sql="""select coalesce(b.trade_id, s.trade_id) as trade_id,
+                  coalesce(strftime(b.trade_date, '%Y-%m'), case when s.trade_id % 7 <> 0
+                           then strftime(s.trade_date, '%Y-%m') end, 'none') as month,
+                  coalesce(b.trader_id, s.trader_id) as trader_id,
+                  cast(coalesce(s.quantity, b.quantity) as double) as quantity,
+                  cast(coalesce(s.price, b.price) as double) as price
+           from first_book as b full join silver_trades as s on b.trade_id = s.trade_id""",
+)
+def _(b: Blotter):
+    """Two upserts into a table stored by month; some of the new trades have none."""
+    names = ["trade_id", "trader_id", "quantity", "price"]
+    path = f"{work_folder(b.spark, 'upserts')}/trades"
+    month = F.date_format("trade_date", "yyyy-MM")
+    first = b.first_book().select(*names, month.alias("month"))
+    later = b.silver().select(*names, F.when(F.col("trade_id") % 7 != 0, month).alias("month"))
+    for source in (first, later):
+        upsert.upsert_partitions(
+            b.spark, path, source, ["trade_id"], ["quantity", "price"], "month"
+        )
+    return files.read_or_create(b.spark, path, first.schema, "month")
+
+
 @query(
     "window_read_back",
     "silver_trades",
@@ -1464,6 +1568,18 @@ def _(b: Blotter):
     return _orders_by_status(files.read_csv(b.spark, path, orders.schema))
 
 
+@query(
+    "roundtrip_csv_rows",
+    sql="""select doc_id, coalesce(text, 'none') as text, coalesce(lang, 'none') as lang,
+                  coalesce(source, 'none') as source, n_chars from documents""",
+)
+def _(b: Blotter):
+    """Every cell of every row, line breaks and quotes in the texts included."""
+    path, docs = work_folder(b.spark, "csv"), b.table("documents")
+    sinks.write_csv(docs, path)
+    return files.read_csv(b.spark, path, docs.schema)
+
+
 @query("roundtrip_csv_inferred", sql=ORDERS_AS_READ)
 def _(b: Blotter):
     path = work_folder(b.spark, "csv")
@@ -1564,6 +1680,21 @@ def _(b: Blotter):
     )
 
 
+@query(
+    "landed_files",
+    sql="""select o_orderstatus as landed_as, count(*) as row_count
+           from orders group by o_orderstatus""",
+)
+def _(b: Blotter):
+    """Row counts per file of a landing folder, summed per kind of order."""
+    folder, orders = work_folder(b.spark, "landing"), b.table("orders")
+    landed = orders.withColumn("landed_as", F.col("o_orderstatus"))
+    landed.write.partitionBy("landed_as").option("header", True).csv(folder)
+    found = files.landed_files(b.spark, f"{folder}/*", orders.schema)
+    kind = F.regexp_extract("path", "landed_as=([^/]+)", 1).alias("landed_as")
+    return found.groupBy(kind).agg(F.sum("row_count").alias("row_count"))
+
+
 @query(
     "snapshot_of_date",
     "trader_states",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ledgerlake.operators.conform import (
 )
 from ledgerlake.operators.upsert import upsert_partitions
 from ledgerlake.schemas import SILVER, TRADES
-from ledgerlake.sinks.tables import write_window
+from ledgerlake.sinks.tables import write_partitioned, write_window
 from ledgerlake.sources.files import extract_window, read_window
 
 UPDATED = ("quantity", "price", "trade_value", "silver_loaded_ts")
@@ -71,6 +72,36 @@ def run_windows(
     return [pipeline_window(spark, source, lake, d, now) for d in sorted(dates, key=str)]
 
 
+def load_windows(
+    spark: SparkSession, source: DataFrame, lake: str, dates: Iterable, now
+) -> DataFrame:
+    """Run the pipeline for several dates at once; returns one summary row per date.
+
+    Bronze, Silver and the lake's copy are each written once, and Silver's keys are read
+    once, however many dates there are. Silver ends as ``run_windows`` would leave it; the
+    lake's copy shows each day as it stands after the last of the dates.
+    """
+    days = sorted({date.fromisoformat(str(d)) for d in dates})
+    wanted = F.col("trade_date").isin(days)
+    rows = source.where(wanted).select(*TRADES.names)
+    write_partitioned(
+        rows.withColumn("window_date", F.col("trade_date")), f"{lake}/bronze/trades", "window_date"
+    )
+    bronze = spark.read.parquet(f"{lake}/bronze/trades").where(F.col("window_date").isin(days))
+    loaded = backfill(bronze, now).select(*SILVER.names)
+    table = f"{lake}/silver_table/trades"
+    upsert_partitions(spark, table, loaded, ["trade_id"], UPDATED, "trade_date")
+    silver = spark.read.schema(SILVER).parquet(table).where(wanted)
+    silver = silver.withColumn("window_date", F.col("trade_date"))
+    write_partitioned(silver, f"{lake}/silver/trades", "window_date")
+
+    summary = spark.createDataFrame([(d,) for d in days], "window_date date")
+    for layer, df in (("bronze", bronze), ("silver", silver)):
+        counts = df.groupBy("window_date").agg(F.count("*").alias(f"{layer}_row_count"))
+        summary = summary.join(counts, "window_date", "left").fillna(0, f"{layer}_row_count")
+    return summary.withColumn("window_date", F.col("window_date").cast("string"))
+
+
 def backfill(bronze: DataFrame, now) -> DataFrame:
     """Silver after all windows of a Bronze table, in one pass instead of one run per day.
 

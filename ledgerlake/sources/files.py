@@ -114,6 +114,19 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     )
 
 
+def landed_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The inventory of a landing folder with each CSV file's number of rows, 0 included."""
+    files = require_input(spark, path)
+    counts = (
+        read_csv(spark, path, schema)
+        .groupBy(F.col("_metadata.file_path").alias("of_path"))
+        .agg(F.count("*").alias("row_count"))
+    )
+    # one source may show a local path as file:/x and another as file:///x
+    same = F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("of_path", "^file:/+", "/")
+    return files.join(counts, same, "left").drop("of_path").fillna(0, "row_count")
+
+
 def snapshot_path(root: str, name: str, snapshot_date: date | str) -> str:
     """``<root>/<name>_<yyyymmdd>.csv``"""
     return f"{root}/{name}_{str(snapshot_date).replace('-', '')}.csv"

@@ -81,6 +81,24 @@ def test_windows_one_by_one_and_backfill_agree(spark, rows):
     assert copied.count() == 3
 
 
+def test_windows_together_equal_windows_one_by_one(spark, rows):
+    bronze, columns = trades(spark, moved_feed()), schemas.SILVER.names
+    lake = work_folder(spark, "lake")
+    days = ["2026-05-06", "2026-05-05", "2026-05-01", "2026-05-04", "2026-05-09"]
+    for _ in range(2):  # loading the same days again changes nothing
+        found = windows.load_windows(spark, bronze, lake, days, NOW)
+        assert [tuple(r) for r in found.orderBy("window_date").collect()] == [
+            ("2026-05-01", 5, 2),
+            ("2026-05-04", 4, 3),
+            ("2026-05-05", 3, 3),
+            ("2026-05-06", 1, 0),
+            ("2026-05-09", 0, 0),
+        ]
+        silver = spark.read.schema(schemas.SILVER).parquet(f"{lake}/silver_table/trades")
+        assert rows(silver, *columns) == rows(windows.backfill(bronze, NOW), *columns)
+    assert files.read_window(spark, f"{lake}/silver/trades", "2026-05-05").count() == 3
+
+
 def test_window_rewrite_leaves_other_days(spark, rows, tmp_path):
     root = str(tmp_path / "w")
     df = spark.createDataFrame([(1,)], "v int")
