@@ -102,10 +102,17 @@ def join_current(
 def relate(
     fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """A declared many-to-one relationship: refuses a dimension whose key repeats."""
-    if not dim.groupBy(key).count().where("count > 1").isEmpty():
+    """A declared many-to-one relationship: refuses a dimension whose key repeats.
+
+    One aggregate gives both the repeats and the size that decides on a broadcast.
+    """
+    rows = dim.groupBy(key).agg(
+        F.count("*").alias("rows"), F.sum(_row_bytes(dim.schema).cast("bigint")).alias("bytes")
+    )
+    most, size = rows.agg(F.max("rows"), F.sum("bytes")).first()
+    if (most or 0) > 1:
         raise ValueError(f"{key} is not unique on the one side of the relationship")
-    return enrich(fact, {key: dim}, how, limit)
+    return star_join(fact, {key: F.broadcast(dim) if 0 < limit and (size or 0) <= limit else dim}, how)
 
 
 def join_as_of(

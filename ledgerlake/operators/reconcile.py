@@ -85,22 +85,37 @@ def reconcile_totals(
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Per column: type, rows, NULLs, and the sum where it is numeric; one pass."""
+    """Per column: type, rows, NULLs, the sum where it is numeric, and the values left out of it.
+
+    Values are summed as decimals, so the sum is the same in whatever order the rows come:
+    decimals at their own scale, other numbers to ten digits, and only the sum is rounded to
+    four. NaN, infinity and numbers of 1e18 or more have no place in it; ``unsummed_count``
+    tells how many there are.
+    """
     kinds = dict(df.dtypes)
+    plain = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
-    def numeric(kind: str) -> bool:
-        return kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or (
-            kind.startswith("decimal")
-        )
+    def exact(c: str):
+        kind = kinds[c]
+        if kind.startswith("decimal"):
+            return F.col(c)
+        if kind in plain:
+            return F.col(c).try_cast("decimal(28,10)" if kind in plain[-2:] else "decimal(28,0)")
+        return None
+
+    values = {c: exact(c) for c in df.columns}
+
+    def total(v):
+        return (F.lit(None) if v is None else F.sum(v)).cast("decimal(38,4)")
 
-    def total(c: str):
-        exact = F.col(c).cast("decimal(28,4)")
-        return F.sum(exact).cast("decimal(38,4)") if numeric(kinds[c]) else F.lit(None)
+    def unsummed(c: str, v):
+        return F.lit(0) if v is None else F.count(c) - F.count(v)
 
     stats = df.agg(
         F.count("*").alias("_n"),
         *[F.count(c).alias(f"_present_{i}") for i, c in enumerate(df.columns)],
-        *[total(c).cast("decimal(38,4)").alias(f"_sum_{i}") for i, c in enumerate(df.columns)],
+        *[total(v).alias(f"_sum_{i}") for i, v in enumerate(values.values())],
+        *[unsummed(c, v).alias(f"_odd_{i}") for i, (c, v) in enumerate(values.items())],
     )
     rows = [
         F.struct(
@@ -109,6 +124,7 @@ def profile(df: DataFrame) -> DataFrame:
             F.col("_n").alias("row_count"),
             (F.col("_n") - F.col(f"_present_{i}")).alias("null_count"),
             F.col(f"_sum_{i}").alias("column_sum"),
+            F.col(f"_odd_{i}").cast("bigint").alias("unsummed_count"),
         )
         for i, c in enumerate(df.columns)
     ]

@@ -7,6 +7,7 @@ desk. A line number repeats within an order, so trades arrive in several version
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.conform import (
@@ -137,25 +138,30 @@ class Blotter:
             F.concat(F.lit("user"), F.col("s_suppkey"), F.lit("@example.com")).alias("login_name"),
         )
 
-    def _picked(self, pick) -> DataFrame:
-        """One version per trade and the number of versions, from one aggregate."""
-        row = F.struct("last_modified_ts", *BLOTTER_TIES)
-        one = self.bronze().groupBy("trade_id")
-        return one.agg(pick(row).alias("row"), F.count("*").alias("versions"))
+    def _ends(self, oldest: bool, n: int) -> DataFrame:
+        """Up to n versions of every trade from one end of its history, numbered.
+
+        Each map task keeps n rows per trade before the shuffle.
+        """
+        order = [F.col(c) for c in ("last_modified_ts", *BLOTTER_TIES)]
+        order = [c.asc_nulls_first() if oldest else c.desc_nulls_last() for c in order]
+        number = F.row_number().over(W.partitionBy("trade_id").orderBy(*order))
+        return self.bronze().withColumn("version", number).where(F.col("version") <= n)
 
     @staticmethod
-    def _valid(picked: DataFrame) -> DataFrame:
-        rows = picked.select("trade_id", "row.*")
-        return split_valid(rows, trade_rules())[0].drop("last_modified_ts")
+    def _valid(versions: DataFrame) -> DataFrame:
+        return split_valid(versions.select("trade_id", *BLOTTER_TIES), trade_rules())[0]
 
     def first_book(self) -> DataFrame:
         """Trades as first booked: the oldest version, if it is valid."""
-        return with_trade_value(self._valid(self._picked(F.min)))
+        return with_trade_value(self._valid(self._ends(oldest=True, n=1)))
 
     def amendments(self) -> DataFrame:
         """The newest version of every trade that has more than one, as a correction."""
-        newest = self._valid(self._picked(F.max).where("versions > 1"))
-        return newest.withColumn(
+        ends = self._ends(oldest=False, n=2)
+        found = F.max("version").over(W.partitionBy("trade_id"))
+        newest = ends.withColumn("found", found).where("version = 1 and found > 1")
+        return self._valid(newest).withColumn(
             "amendment_reason", F.lit("correction after confirmation")
         ).withColumn("amendment_date", F.lit(AMENDMENT_DATE).cast("date"))
 

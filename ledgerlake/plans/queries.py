@@ -765,7 +765,7 @@ def _profile_sql(table: str, described: list[tuple[str, str]]) -> str:
     ),
 )
 def _(b: Blotter):
-    return reconcile.profile(b.table("orders"))
+    return reconcile.profile(b.table("orders")).drop("unsummed_count")
 
 
 # --- history ----------------------------------------------------------------------------

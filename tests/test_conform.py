@@ -1,11 +1,12 @@
 from datetime import datetime
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SEED, trades
 from ledgerlake.functions import columns
-from ledgerlake.operators import conform, reconcile
+from ledgerlake.operators import conform, joins, reconcile
 from ledgerlake.schemas import TRADES
 
 
@@ -120,3 +121,22 @@ def test_profile_counts_nulls_and_sums(spark):
     out = {r.column_name: r for r in reconcile.profile(df).collect()}
     assert (out["n"].row_count, out["n"].null_count, out["n"].column_sum) == (2, 0, D("3.0000"))
     assert out["s"].null_count == 1 and out["s"].column_sum is None
+
+
+def test_profile_keeps_small_parts_and_tells_what_it_left_out(spark):
+    rows = [(0.00004, D("0.00001")), (0.00004, D("0.00009")), (0.00004, None), (float("nan"), None)]
+    df = spark.createDataFrame(rows, "x double, d decimal(18,5)")
+    out = {r.column_name: r for r in reconcile.profile(df).collect()}
+    assert (out["x"].column_sum, out["x"].unsummed_count) == (D("0.0001"), 1)
+    assert (out["d"].column_sum, out["d"].unsummed_count, out["d"].null_count) == (D("0.0001"), 0, 2)
+
+
+def test_relate_refuses_repeats_and_agrees_on_both_paths(spark, rows):
+    fact = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "k int, v int")
+    dim = spark.createDataFrame([(1, "a"), (3, "c")], "k int, name string")
+    for how in ("inner", "left"):
+        assert rows(joins.relate(fact, dim, "k", how)) == rows(joins.relate(fact, dim, "k", how, 0))
+    assert rows(joins.relate(fact, dim, "k")) == [(1, 5, "a")]
+    assert rows(joins.relate(fact, dim.limit(0), "k")) == []
+    with pytest.raises(ValueError, match="not unique"):
+        joins.relate(fact, dim.union(dim), "k")
