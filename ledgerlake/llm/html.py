@@ -8,7 +8,9 @@ whose capacity is lost where labels differ. The maximum flow leaves the cheapest
 labelling; the blocks on the source's side are the main text.
 
 Defined cases: null or empty html and pages without content give an empty text. Unclosed
-and stray tags, and a page that breaks off inside a tag, are read as far as they go.
+and stray tags, and a page that breaks off inside a tag, are read as far as they go: a head
+ends at the first text or tag that HTML does not allow in it, and any other element that is
+not read and has no end tag at the next block; only a script or style runs to the end.
 Character references are decoded, broken ones stay as they are. Rows are answered one by
 one; a null page_id or url is passed on. Other columns are not read.
 """
@@ -40,6 +42,9 @@ UNREAD = frozenset(
     "button datalist head title".split()
 )
 RAW = frozenset("script style textarea title noscript iframe template".split())
+HEAD = frozenset(  # all that an open head may hold
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 CLOSED_BY = {  # an opening tag ends an open one of the same kind
     "p": BLOCKS,
     "li": frozenset(["li"]),
@@ -86,6 +91,7 @@ class Element:
     weight: float  # of the element and everything around it
     link: bool
     article: bool
+    loose: bool = False  # not read, and no end tag follows
 
 
 @dataclass
@@ -107,14 +113,51 @@ def wording(attributes: str) -> float:
     return score
 
 
+def left_open(page: str) -> set[int]:
+    """Where the unread elements start that no end tag closes, by position in the page."""
+    opened: dict[str, list[int]] = {}
+    endless: set[str] = set()
+    at = 0
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        name = (tag[2] or "").lower()
+        if name not in UNREAD or name == "head":
+            continue
+        if tag[1]:
+            if opened.get(name):
+                opened[name].pop()
+        elif not tag[3].rstrip().endswith("/") or name in BLOCKS:
+            opened.setdefault(name, []).append(tag.start())
+            if name in RAW:
+                end = raw_end(page, name, at, endless)
+                at = at if end is None else end
+    return {start for starts in opened.values() for start in starts}
+
+
+def raw_end(page: str, name: str, at: int, endless: set[str]) -> int | None:
+    """Where an element's unparsed text ends; None if it is left open and parsed after all.
+
+    ``endless`` collects the names without an end tag ahead, so that none is sought twice.
+    """
+    if name not in endless:
+        end = re.compile(rf"</{name}[\s>/]", re.I).search(page, at)
+        if end:
+            return end.start()
+        endless.add(name)
+    return len(page) if name in ("script", "style") else None
+
+
 def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
     """The text blocks of a page in order, and the elements around them."""
     elements = [Element("", -1, 0.0, False, False)]
     stack, found = [0], []
     block = Block(0)
     at, unread = 0, 0
+    loose, endless = left_open(page), set()
 
     def say(text: str) -> None:
+        if unread and elements[stack[-1]].tag == "head" and text.strip():
+            close(len(stack) - 1)
         if text and not unread:
             text = unescape(text)
             block.parts.append(text)
@@ -159,6 +202,13 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
                 if name in BLOCKS:
                     finish()
             continue
+        if unread and name not in HEAD:
+            for depth in range(len(stack) - 1, 0, -1):
+                inside = elements[stack[depth]]
+                if inside.tag == "head" or (inside.loose and name in BLOCKS):
+                    close(depth)
+                elif inside.tag in UNREAD:
+                    break
         if name in VOID:
             if name == "hr":
                 finish()
@@ -184,14 +234,16 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
         if not (name == "header" and above.article):
             weight += TAG_WEIGHT.get(name, 0.0)
         article = above.article or name in ("article", "main")
-        elements.append(Element(name, stack[-1], weight, above.link or name == "a", article))
+        link = above.link or name == "a"
+        elements.append(Element(name, stack[-1], weight, link, article, tag.start() in loose))
         stack.append(len(elements) - 1)
         unread += name in UNREAD
         block.element = stack[-1] if not block.parts else block.element
         if name in RAW:
-            end = re.compile(rf"</{name}[\s>/]|\Z", re.I).search(page, at)
-            say(page[at : end.start()])
-            at = end.start()
+            end = raw_end(page, name, at, endless)
+            if end is not None:
+                say(page[at:end])
+                at = end
     close(1)
     finish()
     return elements, found

@@ -83,6 +83,34 @@ def test_main_text(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+LONG = "This is a long paragraph about something that has happened, with many words in it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><body><p>{LONG}</p></body></html>",
+        f"<head><meta charset=utf-8><script>x</script><p>{LONG}",
+        f"<head><title>T</title><style>p {{}}</style><article><p>{LONG}</article>",
+        f"<head><title>T</title>{LONG}",
+        f"<head><title>T<body><p>{LONG}",
+        f"<head><title>T</title><noscript><img src=x></noscript></body><p>{LONG}",
+        f"<body><button>Go<p>{LONG}</p>",
+        f"<body><button>Go<p>{LONG}</p><button>No</button>",
+        f"<body><svg><path d=x><div><p>{LONG}</div>",
+        f"<body><script>'</button>'</script><button>Go<svg><title>i</title></svg><p>{LONG}</p>",
+    ],
+)
+def test_elements_left_open(page):
+    assert html.main_text(page) == LONG
+
+
+def test_closed_unread_elements_stay_unread():
+    page = f"<head><title>T</title></head><p>{LONG}</p><button><div>{LONG}</div></button>"
+    assert html.main_text(page) == LONG
+    assert html.main_text(f"<p>{LONG}</p><script>{LONG}<p>{LONG}") == LONG
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import random
