@@ -71,7 +71,17 @@ BAD_WORDS = frozenset(
     "taboola skip".split()
 )
 GOOD_WORDS = frozenset("article content post entry story main body text".split())
+#: Words that, as a whole id, class or role, name a part of the page beyond doubt.
+PART_WORDS = frozenset(
+    "ad ads advert advertisement banner sponsor breadcrumb breadcrumbs sidebar sidebars nav navbar "
+    "navigation menu footer header masthead topbar cookie cookies popup modal newsletter comment "
+    "comments commentlist disqus respond widget widgets toolbar pagination outbrain taboola".split()
+)
+STATE_WORDS = frozenset("has with without no category tag".split())  # what follows is no role
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BAD_WEIGHT, GOOD_WEIGHT = -14.0, 2.0
+# Shares of a page's text that an element around blocks holds if it is there for all of them.
+WIDE, WIDE_WITH_ARTICLE = 0.8, 0.5
 NEIGHBOUR, SIBLING = 1.0, 0.8
 
 _TAG = re.compile(
@@ -79,7 +89,7 @@ _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTRIBUTE = re.compile(r"(?<![\w:-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -88,10 +98,12 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Element:
     tag: str
     parent: int
-    weight: float  # of the element and everything around it
+    weight: float  # of the element; once the page is read, of everything around it too
     link: bool
     article: bool
     loose: bool = False  # not read, and no end tag follows
+    wording: float = 0.0
+    part: bool = False  # named as a part of the page beyond doubt
 
 
 @dataclass
@@ -102,15 +114,78 @@ class Block:
     text: str = ""
 
 
-def wording(attributes: str) -> float:
-    """What class, id and role say; at most one bad and one good word count."""
-    words = set()
-    for _, value in _ATTRIBUTE.findall(attributes):
-        words.update(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
-    score = BAD_WEIGHT if words & BAD_WORDS else 0.0
-    if not score and words & GOOD_WORDS:
-        score = GOOD_WEIGHT
-    return score
+def wording(attributes: str, tag: str = "", around: Element | None = None) -> tuple[float, bool]:
+    """What class, id and role say, and whether one of them names a part of the page outright.
+
+    A name is bad if one of its words is, otherwise good if one is; words behind "has" and the
+    like are states. As many good names as bad ones cancel them, except those that are one
+    word, as whole id or role. The id of a heading or link, or of anything in a heading, is an
+    address made of its text; so is a section's in an article unless it is a single word.
+    """
+    bad, good, part, certain = 0, 0, False, False
+    values = [(kind.lower(), value.strip("\"'")) for kind, value in _ATTRIBUTE.findall(attributes)]
+    in_heading = tag in HEADINGS or (around is not None and around.tag in HEADINGS)
+    section = tag == "section" or any(k == "class" and "section" in v.split() for k, v in values)
+    for kind, value in values:
+        for name in value.split():
+            words = _WORDS.findall(_CAMEL.sub("-", name).lower())
+            whole_word = len(words) == 1 and words[0] == name.lower() and words[0] in PART_WORDS
+            if kind == "id":
+                if in_heading or tag == "a":
+                    continue
+                if section and around is not None and around.article and not whole_word:
+                    continue
+            state = next((i for i, word in enumerate(words) if word in STATE_WORDS), len(words))
+            words = words[:state]
+            part = part or whole_word
+            certain = certain or (whole_word and kind != "class")
+            if not BAD_WORDS.isdisjoint(words):
+                bad += 1
+            elif not GOOD_WORDS.isdisjoint(words):
+                good += 1
+    if bad:
+        return (BAD_WEIGHT if certain or bad > good else 0.0), part
+    return (GOOD_WEIGHT if good else 0.0), part
+
+
+def weigh(elements: list[Element], found: list[Block]) -> None:
+    """Sum the weights from the page inwards.
+
+    What is around all of the page says nothing about its parts: html, body, and elements that
+    hold a main element, or blocks with nearly all text, or an article with half of it, have no
+    wording; a form around nearly all text has no weight either.
+    """
+    count = len(elements)
+    size, direct = [0] * count, [0] * count
+    holds_main, holds_article = [False] * count, [False] * count
+    for block in found:
+        own = block.element
+        while elements[own].parent > 0 and elements[own].tag not in BLOCKS:
+            own = elements[own].parent
+        direct[own] += len(block.text)
+    for i in range(count - 1, 0, -1):
+        element, above = elements[i], elements[i].parent
+        size[i] += direct[i]
+        size[above] += size[i]
+        if size[i]:
+            main = element.tag == "main"
+            clean = element.tag == "article" and element.wording >= 0
+            holds_main[above] |= holds_main[i] or main
+            holds_article[above] |= holds_article[i] or clean
+    total = size[0] + direct[0]
+    for i in range(1, count):
+        element, inside = elements[i], size[i] - direct[i]
+        wide = (
+            element.tag in ("html", "body")
+            or holds_main[i]
+            or (inside >= WIDE * total and not element.part)
+            or (holds_article[i] and inside >= WIDE_WITH_ARTICLE * total)
+        )
+        if not (wide and inside) and element.tag not in ("html", "body"):
+            element.weight += element.wording
+        if element.tag == "form" and (holds_main[i] or size[i] >= WIDE * total):
+            element.weight = max(0.0, element.weight)
+        element.weight += elements[element.parent].weight
 
 
 def left_open(page: str) -> set[int]:
@@ -230,12 +305,14 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
         if tag[3].rstrip().endswith("/") and name not in BLOCKS:
             continue
         above = elements[stack[-1]]
-        weight = above.weight + (wording(tag[3]) if "=" in tag[3] else 0.0)
+        says, part = wording(tag[3], name, above) if "=" in tag[3] else (0.0, False)
+        weight = 0.0
         if not (name == "header" and above.article):
-            weight += TAG_WEIGHT.get(name, 0.0)
+            weight = TAG_WEIGHT.get(name, 0.0)
         article = above.article or name in ("article", "main")
         link = above.link or name == "a"
-        elements.append(Element(name, stack[-1], weight, link, article, tag.start() in loose))
+        left = tag.start() in loose
+        elements.append(Element(name, stack[-1], weight, link, article, left, says, part))
         stack.append(len(elements) - 1)
         unread += name in UNREAD
         block.element = stack[-1] if not block.parts else block.element
@@ -246,6 +323,7 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
                 at = end
     close(1)
     finish()
+    weigh(elements, found)
     return elements, found
 
 

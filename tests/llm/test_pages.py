@@ -111,6 +111,49 @@ def test_closed_unread_elements_stay_unread():
     assert html.main_text(f"<p>{LONG}</p><script>{LONG}<p>{LONG}") == LONG
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="right-sidebar"><article><p>{}</p></article>',
+        '<html class="has-comments"><body class="nav-open"><p>{}</p></body></html>',
+        '<div class="page right-sidebar"><nav><a>x</a></nav><article><p>{}</p></article></div>',
+        '<div id="wrap" class="with-comments"><div class="in"><p>{}</p></div></div>',
+        '<body><form id="f"><div><p>{}</p></div><input></form>',
+        '<article class="post has-sidebar category-related"><p>{}</p></article><p><a>More</a></p>',
+        '<div class="post no-sidebar"><p>{}</p></div><div class="sidebar"><p>Old.</p><p>x</p></div>',
+        '<article><section id="discussion"><p>{}</p></section></article><footer>x</footer>',
+        '<article><section id="related-work"><p>{}</p></section></article><footer>x</footer>',
+        '<p data-id="share">{}</p><nav><p>x</p></nav>',
+    ],
+)
+def test_wording_around_content(page):
+    assert html.main_text(page.format(LONG)) == LONG
+
+
+def test_ids_of_headings_are_addresses():
+    head = '<h2 id="share-your-results">Share your results</h2>'
+    linked = '<h2><a id="related" href="#r">Related</a></h2>'
+    page = f"<article><p>{LONG}</p>{head}<p>{LONG}</p></article><footer>x</footer>"
+    assert html.main_text(page) == f"{LONG}\nShare your results\n{LONG}"
+    assert html.wording(' id="share-your-results"', "h2") == (0.0, False)
+    assert "Related" in html.main_text(f"<article><p>{LONG}</p>{linked}<p>{LONG}</p></article>")
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<section id="comments"><p>{}</p></section>',
+        '<article class="comment-body"><p>{}</p></article>',
+        '<div id="footer" class="content"><p>{}</p></div>',
+        '<div class="related-posts"><article class="related"><p>{}</p></article></div>',
+        '<div class="widget sidebar-content"><p>{}</p></div>',
+    ],
+)
+def test_wording_of_parts_still_counts(part):
+    page = f"<body class='has-sidebar'><article><p>{LONG}</p><p>{LONG}</p></article>{part.format(LONG)}"
+    assert html.main_text(page) == f"{LONG}\n{LONG}"
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import random
