@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.session import work_folder
@@ -59,6 +59,32 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def digest_of(*cells: Column) -> Column:
+    """Names a row by the values of some columns, nulls told apart from any text."""
+    marked = []
+    for cell in cells:
+        cell = cell.cast("string")
+        marked.append(
+            F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit("-"))
+        )
+    return F.unhex(F.sha2(F.concat(*marked), 256))
+
+
+def with_digest(df: DataFrame, name: str) -> DataFrame:
+    """The rows with a digest of all their columns, as ids may repeat or be missing."""
+    return df.withColumn(name, digest_of(*(df[f"`{c}`"] for c in df.columns)))
+
+
+def single_rows(df: DataFrame, digest: str) -> DataFrame:
+    """One of each set of rows with the same digest.
+
+    The filter sits directly above the window, so a map task sends one row per digest.
+    """
+    number = fresh_name(df, "number")
+    inside = Window.partitionBy(digest).orderBy(digest)
+    return df.withColumn(number, F.row_number().over(inside)).where(F.col(number) == 1).drop(number)
+
+
 def hot_values(df: DataFrame, value: str, purpose: str, share: int = 1000, least: int = 64):
     """The values that more than one in ``share`` rows hold, and ``least`` rows or more.
 

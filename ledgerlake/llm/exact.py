@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name, hot_values, stored, whole
+from ledgerlake.llm.common import fresh_name, hot_values, single_rows, stored, whole, with_digest
 
 BLOCK = 16384
 
@@ -56,8 +56,11 @@ def named(df: DataFrame, *key: str) -> DataFrame:
     return placed.select(*(c for c in df.columns if c not in key), name.alias("name"))
 
 
-def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_sha256, and (level, name), the identity of its text."""
+def identities(docs: DataFrame, block: int = BLOCK, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_sha256, and (level, name), the identity of its text.
+
+    Columns to be ``carried`` are passed on too.
+    """
     raw = whole("text").cast("binary")
     rows = docs.select(
         "doc_id",
@@ -65,14 +68,18 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.sha2(raw, 256).alias("text_sha256"),
         F.greatest(F.lit(1), F.ceil(F.octet_length(raw) / block)).cast("int").alias("blocks"),
         raw.alias("raw"),
+        *carried,
     )
     cut = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda i: F.substring(F.col("raw"), i * block + 1, F.lit(block)),
     )
+    once = ("text_sha256", *carried)  # these travel with the first block only
     pieces = rows.select(
-        "doc_id", "tie", "blocks", "text_sha256", F.posexplode(cut).alias("place", "block")
-    ).withColumn("text_sha256", F.when(F.col("place") == 0, F.col("text_sha256")))
+        "doc_id", "tie", "blocks", *once, F.posexplode(cut).alias("place", "block")
+    )
+    for c in once:
+        pieces = pieces.withColumn(c, F.when(F.col("place") == 0, F.col(c)))
     level0 = stored(named(pieces, "block"), "names-blocks")
 
     finished, level = [], 0
@@ -93,14 +100,14 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     first = level0.where("place = 0")
     result = first.where("blocks = 1").select(
-        "doc_id", "text_sha256", F.lit(0).alias("level"), "name"
+        "doc_id", "text_sha256", F.lit(0).alias("level"), "name", *carried
     )
     for part in finished:
         part = part.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "level", "name")
         several = first.where("blocks > 1").drop("name")
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
         result = result.unionByName(
-            several.join(part, same).select("doc_id", "text_sha256", "level", "name")
+            several.join(part, same).select("doc_id", "text_sha256", "level", "name", *carried)
         )
     return result
 
@@ -125,7 +132,23 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept_id = fresh_name(docs, "kept_id")
-    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias(kept_id))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: one per text.
+
+    Rows that share an id, or have none, are judged one by one. Where rows repeat the largest
+    doc_id with the same text, the one with the largest digest of all its columns stays.
+    """
+    kept, own = fresh_name(docs, "kept_row"), fresh_name(docs, "row_digest")
+    rows = with_digest(docs, own)
+    named_rows = rows.select("doc_id", "text", F.col(own).alias("_row"))
+    stay = (
+        stored(identities(named_rows, carried=("_row",)), "names-documents")
+        .groupBy("level", "name")
+        .agg(F.max(F.struct("doc_id", "_row")).alias("last"))
+        .select(F.col("last._row").alias(kept))
+    )
+    stay = stored(stay, "names-kept")
+    return (
+        single_rows(rows, own)
+        .join(stay, F.col(own) == F.col(kept), "left_semi")
+        .select(*docs.columns)
+    )

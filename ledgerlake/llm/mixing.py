@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, fresh_name, stored, whole
+from ledgerlake.llm.common import WORD, fresh_name, single_rows, stored, whole, with_digest
 
 MAX_REPEAT = 3
 WEIGHTS = (1, 2, 3)
@@ -75,13 +75,23 @@ def source_offset(source, seed: int, draw: int):
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(16**12)
 
 
-def plan(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, max_repeat: int = MAX_REPEAT):
-    """Per row of ``docs``: doc_id, source, size, source_size, target and copies."""
+def plan(
+    docs: DataFrame,
+    seed: int = SEED,
+    weights=WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, source, size, source_size, target and copies.
+
+    Columns to be ``carried`` are passed on too, and order rows that are alike in size and id.
+    """
     sized = docs.select(
         "doc_id",
         "source",
         F.regexp_count(whole("text"), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(f":{seed}"))).alias("mark"),
+        *carried,
     )
     sized = stored(
         sized.select(
@@ -90,6 +100,7 @@ def plan(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, max_repeat: int = M
             "size",
             F.coalesce("mark", F.lit("")).alias("mark"),
             F.length(F.bin("size")).alias("size_class"),
+            *carried,
         ).withColumn(
             "salt", (F.conv(F.substring(F.col("mark"), 1, 7), 16, 10).cast("long") % SALTS)
         ),
@@ -114,7 +125,9 @@ def plan(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, max_repeat: int = M
         )
     )
     cells = stored(cells, "mix-cells")
-    inside = Window.partitionBy("source", "size_class", "salt").orderBy("size", "mark", "doc_id")
+    inside = Window.partitionBy("source", "size_class", "salt").orderBy(
+        "size", "mark", "doc_id", *carried
+    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     ranked = sized.withColumn("place", F.row_number().over(inside)).join(
         cells,
@@ -131,6 +144,7 @@ def plan(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, max_repeat: int = M
             "target",
             rate.alias("rate"),
             (F.col("before") + F.col("place")).alias("rank"),
+            *carried,
         ),
         "mix-ranks",
     )
@@ -161,23 +175,30 @@ def plan(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, max_repeat: int = M
         "source_size",
         "target",
         copies(F.col("start")).cast("long").alias("copies"),
+        *carried,
     )
 
 
 def emit(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the plan says, with all its columns.
 
-    Rows that repeat a doc_id share the copies of the first of them.
+    Rows that share a doc_id, or have none, get the copies of their own place. Rows alike in
+    every column cannot be told apart: one of them is emitted as often as all of them together.
     """
-    of_id, copies, copy = (fresh_name(docs, n) for n in ("of_id", "copies", "copy"))
+    own, of_row, copies, copy = (
+        fresh_name(docs, n) for n in ("row_digest", "of_row", "copies", "copy")
+    )
+    rows = with_digest(docs, own)
+    planned = rows.select("doc_id", "text", "source", F.col(own).alias("_row"))
     chosen = (
-        plan(docs, **settings)
-        .groupBy(F.col("doc_id").alias(of_id))
-        .agg(F.max("copies").alias(copies))
+        plan(planned, **settings, carried=("_row",))
+        .groupBy(F.col("_row").alias(of_row))
+        .agg(F.sum("copies").alias(copies))
         .where(F.col(copies) > 0)
     )
     return (
-        docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(of_id)))
+        single_rows(rows, own)
+        .join(chosen, F.col(own) == F.col(of_row))
         .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
         .select(*docs.columns)
     )

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name, python_workers, stored, whole
+from ledgerlake.llm.common import digest_of, fresh_name, python_workers, stored, whole
 
 SAMPLE = 20_000
 START = 0.8
@@ -148,11 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
 def row_digest(host: Column, path: Column) -> Column:
     """Names a row by all that its verdict depends on, as ids may repeat or be missing."""
-    cells = (F.col("doc_id").cast("string"), host.cast("string"), path.cast("string"), whole("text"))
-    marked = [
-        F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells
-    ]
-    return F.unhex(F.sha2(F.concat(*marked), 256))
+    return digest_of(F.col("doc_id"), host, path, whole("text"))
 
 
 def evidence(docs: DataFrame, weights: np.ndarray, host: Column, path: Column) -> DataFrame:

@@ -91,6 +91,62 @@ def test_rows_with_one_id_are_judged_one_by_one(docs, labels):
     assert len({bytes(r.row_digest) for r in rows}) == docs.distinct().count()
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark):
+    """A third of the rows without an id and a third with one id, in sources of unlike size."""
+    rows = []
+    for i in range(360):
+        doc_id = (None, 7, 100 + i)[i % 3]
+        rows.append((doc_id, f"{PROSE} number {i % 300} of many", "en", "abb"[i % 3] + "x" * (i > 50), i))
+    rows += rows[:9]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    ).cache()
+
+
+def test_exact_copies_of_rows_that_share_ids(spark, docs, shared_ids):
+    small = spark.createDataFrame(
+        [(None, "X", 1), (7, "X", 2), (None, "Y", 3), (7, "X", 4), (7, "X", 4), (7, None, 5)],
+        "doc_id long, text string, extra int",
+    )
+    kept = sorted(exact.without_copies(small).collect(), key=str)
+    assert [r.text for r in kept if r.text is None] == [None] and len(kept) == 3
+    assert sorted((r.text, r.doc_id) for r in kept if r.text == "X") == [("X", 7)]
+    assert [r.doc_id for r in kept if r.text == "Y"] == [None]
+    for rows in (docs, shared_ids):
+        last = {}
+        for r in rows.collect():
+            place = (r.doc_id is not None, r.doc_id)
+            last[r.text or ""] = max(last.get(r.text or "", place), place)
+        found = exact.without_copies(rows).collect()
+        assert len(found) == len(last) and set(found) <= set(rows.collect())
+        assert {r.text or "": (r.doc_id is not None, r.doc_id) for r in found} == last
+
+
+def test_long_texts_that_share_ids_are_named_one_by_one(spark):
+    long = "word " * 9000
+    rows = [(None, long + "a"), (None, long + "b"), (7, long + "a"), (7, long + "c"), (7, long + "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.text[-1], r.doc_id) for r in exact.without_copies(docs).collect())
+    assert found == [("a", 7), ("b", None), ("c", 7)]
+
+
+def test_mix_of_rows_that_share_ids(shared_ids):
+    of_source, of_row = {}, {}
+    rows = mixing.plan(shared_ids, carried=("n_chars",)).collect()
+    for r in rows:
+        of_source[r.source] = of_source.get(r.source, 0) + r.copies
+        of_row[r.n_chars] = of_row.get(r.n_chars, 0) + r.copies
+    found, taken = {}, {}
+    for r in mixing.emit(shared_ids).collect():
+        taken[r.source] = taken.get(r.source, 0) + 1
+        found[r.n_chars] = found.get(r.n_chars, 0) + 1
+    assert taken == {source: n for source, n in of_source.items() if n}
+    words = {r.source: (r.target, r.size) for r in rows}
+    for source, (target, size) in words.items():
+        assert abs(taken.get(source, 0) * size - target) <= 2 * size
+
+
 def test_page_operators(pages):
     for work in (archive.archive_pages, html.extract):
         assert work(pages).count() == pages.count()
