@@ -13,7 +13,8 @@ Three kinds of evidence are multiplied:
 Documents take part without markup or suffix; their source is their host.
 
 Parameters with bounds: SAMPLE, the expected number of labelled documents the model is
-fitted on. The driver holds the model, BUCKETS numbers for each language of the sample.
+fitted on, and LEAST, how many of one language there are to be at least (all of a rarer one).
+The driver holds the model, BUCKETS numbers for each language that labels name.
 
 Defined cases: a null or empty text has no text evidence and gets the language its other
 evidence favours. Null hosts, suffixes and declarations are no evidence of their own: a
@@ -30,12 +31,13 @@ from html import unescape
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import python_workers, stored, whole
 
 SAMPLE = 5000
+LEAST = 200
 BUCKETS = 1 << 16
 #: Trigrams of one text depend on each other: no text counts as more than this many.
 EVIDENCE = 60
@@ -79,10 +81,20 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]
     """Languages in order and, per language and bucket, the log of its share."""
     python_workers(docs.sparkSession)
     known = docs.where("lang is not null and doc_id is not null")
-    share = min(1.0, sample / max(1, known.count()))
-    chosen = known.where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    ).select("lang", whole("text").alias("text"))
+    counts = known.groupBy(F.col("lang").alias("of_lang")).agg(F.count("*").alias("n"))
+    total = Window.partitionBy()  # one row per language
+    share = F.greatest(F.lit(sample) / F.sum("n").over(total), F.lit(LEAST) / F.col("n"))
+    shares = stored(
+        counts.select("of_lang", F.floor(F.least(F.lit(1.0), share) * (1 << 20)).alias("bound")),
+        "language-shares",
+    )
+    # a row per language: the model below has 65,536 numbers for each on the driver
+    chosen = (
+        known.select("doc_id", "lang", whole("text").alias("text"))
+        .join(F.broadcast(shares), F.col("lang") == F.col("of_lang"))
+        .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("bound"))
+        .select("lang", "text")
+    )
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}

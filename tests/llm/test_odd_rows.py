@@ -147,6 +147,13 @@ def test_mix_of_rows_that_share_ids(shared_ids):
         assert abs(taken.get(source, 0) * size - target) <= 2 * size
 
 
+def test_rare_languages_are_trained(spark):
+    rows = [(i, "the cat of the house", "en") for i in range(3000)]
+    rows += [(3000 + i, "der hund und das haus", f"de{i // 20}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.train(docs, 20)[0] == ["de0", "de1", "de2", "de3", "de4", "en"]
+
+
 def test_page_operators(pages):
     for work in (archive.archive_pages, html.extract):
         assert work(pages).count() == pages.count()
