@@ -7,8 +7,10 @@ from ledgerlake.llm import (
     exact,
     html,
     language,
+    middle,
     minhash,
     mixing,
+    negatives,
     packing,
     quality,
     secrets,
@@ -67,6 +69,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.with_digests(middle.transformed(table(spark, sf_dir, "documents")))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +90,8 @@ QUERIES = {
         op8_minhash,
         op9_mixing,
         op10_secrets,
+        op12_middle,
+        op13_negatives,
     )
 }
 
@@ -111,4 +123,64 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
     """,
     "op9_mixing": mixing.oracle(),
+    "op12_middle": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                   sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS name
+            FROM documents
+        ), h AS (
+            SELECT *, len(units) AS n,
+                   cast('0x' || name[1:8] AS bigint) % (len(units) + 1) AS one,
+                   cast('0x' || name[9:16] AS bigint) % (len(units) + 1) AS two,
+                   cast('0x' || name[17:24] AS bigint) % 100 AS plain,
+                   cast('0x' || name[25:32] AS bigint) % 100 AS turned
+            FROM d
+        ), p AS (
+            SELECT *,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') OR plain >= 90 THEN 'plain'
+                        WHEN turned < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   coalesce(array_to_string(units[1:least(one, two)], ''), '') AS prefix,
+                   coalesce(array_to_string(units[least(one, two) + 1:greatest(one, two)], ''), '')
+                       AS middle,
+                   coalesce(array_to_string(units[greatest(one, two) + 1:], ''), '') AS suffix
+            FROM h
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+                   AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p
+    """,
+    "op13_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x AS double))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), a AS (
+            SELECT vec_id AS anchor_id, label, v FROM v WHERE vec_id % 100 = 0
+        ), s AS (
+            SELECT a.anchor_id, v.vec_id, a.label = v.label AS same,
+                   cast(list_dot_product(a.v, v.v) AS bigint) AS score
+            FROM a JOIN v ON a.anchor_id <> v.vec_id
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id,
+               score AS negative_score,
+               cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                                       ORDER BY score DESC, vec_id) AS integer) AS rank
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+             AND 100 * score BETWEEN 80 * positive_score AND 100 * positive_score
+        QUALIFY rank <= 5
+    """,
 }
