@@ -61,7 +61,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> np.uint64(27))
@@ -78,29 +78,29 @@ def _power(which: int, count: int) -> np.ndarray:
     return _powers[which][:count]
 
 
-def _part_hashes(data: bytes) -> np.ndarray:
-    """One value per word of a part, from sums over all its bytes at once."""
+def word_values(data: bytes, space: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+    """A hash, the start and the end of every word of a part, from sums over all its bytes."""
     letters = np.frombuffer(data, dtype=np.uint8)
-    inside = ~_SPACE[letters]
+    inside = ~space[letters]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(letters) + 1, dtype=np.uint64)
     np.cumsum(_LETTER[letters] * _power(0, len(letters)), out=sums[1:])
     words = (sums[ends] - sums[starts]) * _power(1, len(letters) + 1)[starts]
-    return _mixed(words + (ends - starts).astype(np.uint64) * _FACTORS[-1])
+    return mixed(words + (ends - starts).astype(np.uint64) * _FACTORS[-1]), starts, ends
 
 
 def word_hashes(text: str) -> np.ndarray:
     """A hash per word, A-Z read as a-z; words end at the six ASCII white-space characters."""
     data = text.encode("utf-8", "surrogatepass").lower()
     if len(data) <= PART:
-        return _part_hashes(data)
+        return word_values(data)[0]
     parts, at = [], 0
     while at < len(data):  # cut behind the last white space, or take a longer word whole
         end = min(len(data), at + PART)
         while end < len(data) and not _SPACE[data[end - 1]]:
             end += 1
-        parts.append(_part_hashes(data[at:end]))
+        parts.append(word_values(data[at:end])[0])
         at = end
     return np.concatenate(parts)
 
@@ -114,7 +114,7 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     total = np.zeros(len(hashes) - size + 1, dtype=np.uint64)
     for i in range(size):
         total += hashes[i : i + len(total)] * _FACTORS[i]
-    return np.unique(_mixed(total + np.uint64(size)))
+    return np.unique(mixed(total + np.uint64(size)))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:

@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     mixing,
     negatives,
     packing,
+    pii,
     quality,
     secrets,
     spots,
@@ -69,6 +70,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_report(table(spark, sf_dir, "documents"))
+
+
 def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.with_digests(middle.transformed(table(spark, sf_dir, "documents")))
 
@@ -90,6 +95,7 @@ QUERIES = {
         op8_minhash,
         op9_mixing,
         op10_secrets,
+        op11_pii,
         op12_middle,
         op13_negatives,
     )
