@@ -20,7 +20,8 @@ Rounds end when nothing new is known, after MOST_ROUNDS at the latest (a documen
 limit). Candidates that name a known instance are added to the spans, as kinds of their
 own behind the base kinds; base spans stay as they are.
 
-Words end at white space and at the signs in SEPARATORS, with A-Z read as a-z. Words,
+Of several places behind the same word the first one counts as following it, so that a
+pattern has no more followers than occurrences. Words end at white space and at the signs in SEPARATORS, with A-Z read as a-z. Words,
 patterns and instances are 64-bit hashes.
 
 Defined cases: a null or empty text has no spans. Text is all that decides, so equal
@@ -34,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -232,7 +234,10 @@ def mentions_of(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             at = places[i] = starts[i]
             places[i] = before
         starts = places
-    ended = np.searchsorted(ends, starts, "right")
+    ended = np.searchsorted(ends, starts, "right").tolist()
+    first = {}
+    for i in sorted(range(len(found)), key=lambda i: (found[i][2], i)):
+        first.setdefault(ended[i], i)
     return [
         {
             "kind": kind,
@@ -241,10 +246,12 @@ def mentions_of(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             "end": b,
             "instance": instance,
             "before": [
-                int(patterns[n - 1][w - n]) for n in range(1, LONGEST + 1) if w >= n
+                int(patterns[n - 1][w - n])
+                for n in range(1, LONGEST + 1)
+                if w >= n and first[w] == i
             ],
         }
-        for (kind, fits, a, b, instance), w in zip(found, ended, strict=True)
+        for i, ((kind, fits, a, b, instance), w) in enumerate(zip(found, ended, strict=True))
     ]
 
 
@@ -284,13 +291,16 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, occurrences): how often each of the patterns stands in all texts."""
+    """(pattern, occurrences): how often each of the patterns stands in all texts.
+
+    A task counts what its bits let through and returns each pattern once.
+    """
     python_workers(docs.sparkSession)
     table = bit_table(patterns.select(F.col("pattern").alias("value")))
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches):
-        bits = shared.value
+        bits, total = shared.value, Counter()
         for batch in batches:
             found = []
             for text in batch.column("text").to_pylist():
@@ -298,9 +308,11 @@ def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                     found.append(own[bits[own % len(bits)]])
             if found:
                 values, times = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values), pa.array(times)], names=["seen", "times"]
-                )
+                total.update(dict(zip(values.tolist(), times.tolist(), strict=True)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
+            names=["seen", "times"],
+        )
 
     counted = (
         docs.select(whole("text").alias("text"))
@@ -334,19 +346,41 @@ def by_pattern(edges: DataFrame, patterns: DataFrame, how: str = "inner") -> Dat
     return edges.withColumn("part", part).join(spread, ["pattern", "part"], how).drop("part")
 
 
-def scored_patterns(edges: DataFrame, known: DataFrame, counts: DataFrame) -> DataFrame:
-    """(pattern, kind, confidence, support) of the patterns that take part."""
+def kind_sums(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """Per pattern: times in all, and per kind times and instances known, times that may be."""
     own = known.select(F.col("instance").alias("known_instance"), F.col("kind").alias("own"))
     met = edges.join(own, F.col("instance") == F.col("known_instance"), "left")
-    sums = []
+    sums = [F.sum("times").alias("times")]
     for k in range(len(KINDS)):
+        is_kind = F.col("own") == k
         may = F.col("own").isNull() & (F.col("fits").bitwiseAND(F.lit(1 << k)) > 0)
         sums += [
-            F.sum(F.when(F.col("own") == k, F.col("times")).otherwise(0)).alias(f"followed{k}"),
-            F.count(F.when(F.col("own") == k, 1)).alias(f"support{k}"),
+            F.sum(F.when(is_kind, F.col("times")).otherwise(0)).alias(f"followed{k}"),
+            F.count(F.when(is_kind, 1)).alias(f"support{k}"),
             F.sum(F.when(may, F.col("times")).otherwise(0)).alias(f"unknown{k}"),
+            F.count(F.when(may, 1)).alias(f"hopes{k}"),
         ]
-    summed = met.groupBy("pattern").agg(*sums).join(counts, "pattern")
+    return met.groupBy("pattern").agg(*sums)
+
+
+def possible_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """The patterns that can ever take part, were every candidate that fits a kind known.
+
+    A pattern occurs at least as often as something follows it, so its confidence stays
+    below that share. Words of no particular meaning precede all kinds and end here,
+    before their occurrences are counted.
+    """
+    may = F.lit(False)
+    for k in range(len(KINDS)):
+        share = (F.col(f"followed{k}") + F.col(f"unknown{k}")) / (F.col("times") + 1)
+        enough = F.col(f"support{k}") + F.col(f"hopes{k}") >= MIN_SUPPORT
+        may = may | (enough & (share >= MIN_CONFIDENCE))
+    return kind_sums(edges, known).where(may).select("pattern")
+
+
+def scored_patterns(edges: DataFrame, known: DataFrame, counts: DataFrame) -> DataFrame:
+    """(pattern, kind, confidence, support) of the patterns that take part."""
+    summed = kind_sums(edges, known).join(counts, "pattern")
     kinds = [
         F.struct(
             F.lit(k).alias("kind"),
@@ -398,10 +432,7 @@ def bootstrapped(docs: DataFrame, scans: DataFrame) -> tuple[DataFrame, DataFram
         "pii-known",
     )
     every = stored(graph(scans), "pii-graph")
-    often = stored(
-        every.groupBy("pattern").count().where(F.col("count") >= MIN_SUPPORT).select("pattern"),
-        "pii-often",
-    )
+    often = stored(possible_patterns(every, known), "pii-often")
     counts = stored(occurrences(docs, often), "pii-counts")
     edges = stored(by_pattern(every, often), "pii-edges")
     for nth in range(1, MOST_ROUNDS + 1):
@@ -427,20 +458,26 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     scans = stored(scanned(docs), "pii-scans")
     known, _ = bootstrapped(docs, scans)
     own = known.select(F.col("instance").alias("known_instance"), "kind")
+    hopeful = F.exists("mentions", lambda m: m["kind"] < 0)
     found = (
-        scans.select("high", "low", F.explode("mentions").alias("m"))
+        scans.where(hopeful)
+        .select("high", "low", F.explode("mentions").alias("m"))
         .where("m.kind < 0")
         .select("high", "low", "m.fits", "m.start", "m.end", "m.instance")
         .distinct()  # copies of a text have the same places
         .join(own, F.col("instance") == F.col("known_instance"))
         .groupBy("high", "low")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
-        .select(F.col("high").alias("of_high"), F.col("low").alias("of_low"), "added")
     )
-    same = (F.col("high") == F.col("of_high")) & (F.col("low") == F.col("of_low"))
+    # a text with many copies lies on PARTS keys
+    found = found.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
+    with_candidates = scans.where(hopeful).withColumn("part", part)
     none = F.array().cast("array<struct<kind:int,start:long,end:long>>")
-    return scans.join(found, same, "left").select(
-        "doc_id", "base", F.coalesce("added", none).alias("added")
+    return (
+        with_candidates.join(found, ["high", "low", "part"], "left")
+        .select("doc_id", "base", F.coalesce("added", none).alias("added"))
+        .union(scans.where(~hopeful).select("doc_id", "base", none.alias("added")))
     )
 
 

@@ -78,14 +78,18 @@ def plain_bootstrap(texts):
         base = pii.base_spans(text)
         found = [(k, 0, a, b, pii.base_name(k, text[a:b])) for k, a, b in base]
         found += [(-1, *c) for c in pii.apart(pii.candidates(text), base)]
-        for kind, fits, a, b, instance in found:
+        behind = set()
+        order = sorted(range(len(found)), key=lambda i: (found[i][2], i))
+        for kind, fits, a, b, instance in (found[i] for i in order):
             before = [w for w, m in zip(lowered, words, strict=True) if m.end() <= a]
             if kind >= 0:
                 seen[instance] = min(kind, seen.get(instance, 9))
             else:
                 mentions.append((number, a, b, instance))
+            follows = len(before) not in behind
+            behind.add(len(before))
             for n in range(1, 4):
-                if len(before) >= n:
+                if len(before) >= n and follows:
                     pattern = tuple(before[-n:])
                     edges[pattern, instance] += 1
                     fits_of[pattern, instance] |= fits
