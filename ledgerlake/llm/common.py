@@ -19,17 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """The rows, written once to the shared folder and read back.
 
     Later steps then read files that outlive any executor, join against a table whose
     size Spark knows, and never compute the rows a second time.
     """
-    path = work_folder(df.sparkSession, purpose)
+    path = path or work_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables of one step, given up together once their successor is stored.
+
+    Nothing may read them afterwards: what a result still needs is stored elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(work_folder(self.spark, purpose))
+        return stored(df, purpose, self.paths[-1])
+
+    def give_up(self) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.paths.clear()
+
+
 def python_workers(spark: SparkSession, rows: int = 1000) -> None:
     """Before a step in Python: bound its batches, and let its workers import this package.
 

@@ -2,14 +2,16 @@
 
 Every word shingle is hashed once. A document's sketch retains its KEEP smallest values
 (all of them if it has no more). Two documents that are similar enough share a known
-number of retained values, so they meet in an inverted list of one of the first few
-values of each, in an order that puts common values last. The order comes from a table
-of 2^18 counters, of the same size for any input; a wrong count costs time and loses
+number of retained values. Each brings the first few of its values, in an order that puts
+common values last, into inverted lists: so many that two similar documents meet in
+OVERLAP lists or more, where they share as many values at all. Documents that meet in fewer
+are no pair: rare values shared by chance alone do not make one. The order comes from
+counters of the retained values, MOST_COUNTERS at most; a wrong count costs time and loses
 nothing. Lists are worked off in two rounds:
 
 1. every document against one member of each of its lists;
 2. pairs of list members that the links so far leave in different components, each pair in
-   the first list it shares.
+   the list that completes its overlap.
 
 A group of near-copies, however large, falls together in the first round, so its members
 are never paired with each other. A pair is looked at if the sizes and the places of the
@@ -40,15 +42,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name, python_workers, stored, whole
+from ledgerlake.llm.common import (
+    Scratch,
+    fresh_name,
+    python_workers,
+    stored,
+    whole,
+    with_digest,
+)
 from ledgerlake.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 KEEP = 512
 ESTIMATE = 128
-BROADCAST = 500_000
-COUNTERS = 1 << 18
+OVERLAP = 4  # lists that two documents share before they are looked at
+MOST_COUNTERS = 1 << 24
+COUNTER_PART = 1 << 12
 PART = 1 << 22  # bytes hashed at a time
 
 _random = np.random.Generator(np.random.PCG64(20260101))
@@ -172,30 +182,49 @@ def shared_least(n: int, percent: int, keep: int) -> int:
     return max(1, min(exact, math.floor(keep * p - 6 * math.sqrt(keep * p * (1 - p)))))
 
 
-def counted(docs: DataFrame, words: int, keep: int) -> np.ndarray:
-    """How many retained values fall on each of COUNTERS counters; the driver gets no more."""
+def counters_for(retained: int) -> int:
+    """A power of two for about eight values a counter, up to MOST_COUNTERS."""
+    return min(MOST_COUNTERS, 1 << max(16, (retained // 8).bit_length()))
+
+
+def counted(docs: DataFrame, words: int, keep: int, size: int) -> np.ndarray:
+    """How many retained values fall on each counter.
+
+    A task sends one array of bytes per part of the counters that it met; the driver gets
+    two bytes a counter. Higher counts stop at what fits: the order hardly needs them.
+    """
 
     def count(batches):
-        counts = np.zeros(COUNTERS, dtype=np.int64)
+        counts = np.zeros(size, dtype=np.uint32)
         for found in _first_sketches(batches, words, keep):
             if found:
                 values = np.concatenate([sketch for _, _, sketch in found])
-                counts += np.bincount(values % COUNTERS, minlength=COUNTERS)
-        there = np.flatnonzero(counts)
+                counts += np.bincount(values % size, minlength=size).astype(np.uint32)
+        parts = np.minimum(counts, 255).astype(np.uint8).reshape(-1, COUNTER_PART)
+        there = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(there), pa.array(counts[there])], names=["counter", "times"]
+            [pa.array(there), pa.array([parts[i].tobytes() for i in there], pa.binary())],
+            names=["part", "counts"],
         )
 
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(COUNTER_PART, dtype=np.int64)
+        for counts in group["counts"].to_pylist():
+            total += np.frombuffer(counts, dtype=np.uint8)
+        total = np.minimum(total, 65535).astype("<u2").tobytes()
+        return pa.table({"part": group["part"][:1], "counts": pa.array([total], pa.binary())})
+
     found = (
         _texts(docs)
-        .mapInArrow(count, "counter long, times long")
-        .groupBy("counter")
-        .agg(F.least(F.sum("times"), F.lit(2**31 - 1)).cast("int").alias("times"))
+        .mapInArrow(count, "part long, counts binary")
+        .groupBy("part")
+        .applyInArrow(add, "part long, counts binary")
         .toArrow()
     )
-    counts = np.zeros(COUNTERS, dtype=np.int32)
-    counts[found["counter"].to_numpy()] = found["times"].to_numpy()
-    return counts
+    counts = np.zeros((size // COUNTER_PART, COUNTER_PART), dtype=np.uint16)
+    for part, own in zip(found["part"].to_pylist(), found["counts"].to_pylist(), strict=True):
+        counts[part] = np.frombuffer(own, dtype="<u2")
+    return counts.ravel()
 
 
 def bit_table(values: DataFrame, most: int = 1 << 24) -> np.ndarray:
@@ -226,16 +255,22 @@ def index_rows(
     keep: int,
     only: np.ndarray | None = None,
 ) -> DataFrame:
-    """The first values of each sketch with their place: value, high, low, place, n."""
+    """The first values of each sketch: value, high, low, place, n and least.
+
+    ``least`` values are shared with any set that is similar enough. Of those, all but the
+    last ``least`` - OVERLAP lie among the first values of both.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((counts, only))
 
     def read(batches):
         counters, wanted = shared.value
         for found in _first_sketches(batches, words, keep):
-            values, places, lengths = [], [], []
+            values, places, lengths, leasts = [], [], [], []
             for n, _, own in found:
                 order = np.lexsort((own, counters[own % len(counters)]))
-                first = own[order[: len(own) - shared_least(n, percent, keep) + 1]]
+                least = shared_least(n, percent, keep)
+                first = own[order[: len(own) - least + min(OVERLAP, least)]]
+                leasts.append(least)
                 at = np.arange(len(first), dtype=np.int32)
                 if wanted is not None:
                     good = wanted[first % len(wanted)]
@@ -253,78 +288,112 @@ def index_rows(
                     *(pa.array(np.repeat(c, lengths)) for c in (parts[:, 0], parts[:, 1])),
                     pa.array(np.concatenate(places)),
                     pa.array(np.repeat(sizes, lengths)),
+                    pa.array(np.repeat(np.array(leasts, dtype=np.int32), lengths)),
                 ],
-                names=["value", "high", "low", "place", "n"],
+                names=["value", "high", "low", "place", "n", "least"],
             )
 
-    return _texts(docs).mapInArrow(read, "value long, high long, low long, place int, n long")
+    return _texts(docs).mapInArrow(
+        read, "value long, high long, low long, place int, n long, least int"
+    )
 
 
 def inverted_lists(
-    docs: DataFrame, first_ids: DataFrame, words: int, percent: int, keep: int
+    docs: DataFrame,
+    first_ids: DataFrame,
+    words: int,
+    percent: int,
+    keep: int,
+    retained: int,
+    scratch: Scratch,
 ) -> DataFrame:
-    """(value, doc, place, n) for the values that two or more different sets retain."""
-    counts = counted(docs, words, keep)
-    several = stored(
+    """(value, doc, place, n, least) for the values that two or more different sets retain."""
+    counts = counted(docs, words, keep, counters_for(retained))
+    several = scratch.stored(
         index_rows(docs, words, counts, percent, keep)
         .groupBy("value")
-        .agg(F.min("high").alias("least"), F.max("high").alias("most"))
-        .where("least <> most")
+        .agg(F.min("high").alias("lowest"), F.max("high").alias("highest"))
+        .where("lowest <> highest")
         .select("value"),
         "minhash-values",
     )
     rows = index_rows(docs, words, counts, percent, keep, bit_table(several))
-    return stored(
+    return scratch.stored(
         rows.join(several, "value")
         .join(first_ids, ["high", "low"])
-        .select("value", F.col("first_id").alias("doc"), "place", "n")
+        .select("value", F.col("first_id").alias("doc"), "place", "n", "least")
         .distinct(),
         "minhash-lists",
     )
 
 
-def possible(percent: int, keep: int):
-    """May a row of x and one of y with the same value belong to a link?"""
-    n, m = F.col("x.n"), F.col("y.n")
-    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    # with whole sets retained, no more values than those behind the shared one follow
-    rest = F.least(n - F.col("x.place"), m - F.col("y.place"))
-    places = (F.greatest(n, m) > keep) | (rest * (100 + percent) >= percent * (n + m))
-    return sizes & places & (F.col("x.doc") != F.col("y.doc"))
+def similar_sizes(percent: int):
+    return 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+
 
+def needed():
+    """How many lists a pair x, y must share."""
+    return F.least("x.least", "y.least", F.lit(OVERLAP))
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+def reachable(percent: int, keep: int):
+    """Can x and y still share enough, if this list is the last of the needed ones?
 
-def first_round(lists: DataFrame, percent: int, keep: int) -> DataFrame:
-    """Each document with one member of each of its lists."""
-    hubs = stored(
+    No more retained values are shared behind this one than either has left.
+    """
+    n, m = F.col("x.n"), F.col("y.n")
+    rest = F.least(
+        F.least(n, F.lit(keep)) - F.col("x.place"), F.least(m, F.lit(keep)) - F.col("y.place")
+    )
+    both = rest + needed() - 1
+    whole_sets = F.greatest(n, m) <= keep  # then what is shared is known from the sizes
+    return F.when(whole_sets, both * (100 + percent) >= percent * (n + m)).otherwise(
+        both >= F.greatest("x.least", "y.least")
+    )
+
+
+def first_round(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Each document with one member of each of its lists, where enough lists agree.
+
+    Others are left for the second round.
+    """
+    hubs = scratch.stored(
         lists.groupBy("value")
-        .agg(F.min(F.struct("place", "doc", "n")).alias("hub"))
+        .agg(F.min(F.struct("place", "doc", "n", "least")).alias("hub"))
         .select("value", "hub.*"),
         "minhash-hubs",
     )
     met = lists.alias("x").join(
-        hubs.alias("y"), (F.col("x.value") == F.col("y.value")) & possible(percent, keep)
+        hubs.alias("y"),
+        (F.col("x.value") == F.col("y.value"))
+        & similar_sizes(percent)
+        & (F.col("x.doc") != F.col("y.doc")),
+    )
+    pairs = met.select(
+        F.least("x.doc", "y.doc").alias("a"),
+        F.greatest("x.doc", "y.doc").alias("b"),
+        needed().alias("needed"),
     )
-    return ordered(met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")))
+    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("needed").alias("needed"))
+    return counts.where("shared >= needed").select("a", "b")
 
 
-def second_round(lists: DataFrame, grouped: DataFrame, percent: int, keep: int) -> DataFrame:
+def second_round(
+    lists: DataFrame, grouped: DataFrame, percent: int, keep: int, scratch: Scratch
+) -> DataFrame:
     """Pairs of list members in different components, once each.
 
     Of a list's largest component, members are paired with others only. A pair is taken
-    in the first list that both are in: ``earlier`` holds a member's lists before this
-    one, no more than a sketch has values.
+    in the list that completes the number it must share: ``earlier`` holds a member's
+    lists before this one, no more than a sketch has values.
     """
-    owned = stored(
+    owned = scratch.stored(
         lists.join(grouped, F.col("doc") == F.col("node"), "left").select(
-            "value", "doc", "place", "n", F.coalesce("component", "doc").alias("component")
+            "value", "doc", "place", "n", "least", F.coalesce("component", "doc").alias("component")
         ),
         "minhash-owned",
     )
-    open_lists = stored(
+    open_lists = scratch.stored(
         owned.groupBy("value", "component")
         .count()
         .groupBy("value")
@@ -339,18 +408,20 @@ def second_round(lists: DataFrame, grouped: DataFrame, percent: int, keep: int)
     member = owned.join(open_lists, F.col("value") == F.col("open_value")).drop("open_value")
     own = F.sort_array(F.collect_list(F.struct("place", "value", "largest")))
     member = (
-        member.groupBy("doc", "n", "component")
+        member.groupBy("doc", "n", "least", "component")
         .agg(own.alias("own"))
         .select("*", F.posexplode("own").alias("nth", "at"))
+        .where(F.col("nth") + 1 >= F.least("least", F.lit(OVERLAP)))  # fewer complete nothing
         .select(
             "doc",
             "n",
+            "least",
             "component",
             "at.*",
             F.slice("own.value", F.lit(1), F.col("nth")).alias("earlier"),
         )
     )
-    member = stored(member, "minhash-members")
+    member = scratch.stored(member, "minhash-members")
     x, y = member.where("component <> largest").alias("x"), member.alias("y")
     once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.doc") < F.col("y.doc"))
     met = x.join(
@@ -358,10 +429,13 @@ def second_round(lists: DataFrame, grouped: DataFrame, percent: int, keep: int)
         (F.col("x.value") == F.col("y.value"))
         & (F.col("x.component") != F.col("y.component"))
         & once
-        & possible(percent, keep)
-        & ~F.arrays_overlap("x.earlier", "y.earlier"),
+        & similar_sizes(percent)
+        & reachable(percent, keep)
+        & (F.size(F.array_intersect("x.earlier", "y.earlier")) == needed() - 1),
     )
-    return ordered(met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")))
+    return met.select(
+        F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
+    ).distinct()
 
 
 def estimated(a: np.ndarray, b: np.ndarray, keep: int) -> float:
@@ -377,8 +451,7 @@ def brought_together(
 ) -> DataFrame:
     """Per pair (a, b) its ends: side, set size, and the set or its smallest values.
 
-    A table of bits lets a task make the sets of documents in question only. Up to
-    BROADCAST pairs are broadcast; more are joined by a shuffle.
+    A table of bits lets a task make the sets of documents in question only.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("value")).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(bit_table(stored(wanted, "minhash-wanted")))
@@ -407,8 +480,6 @@ def brought_together(
     ends = pairs.select(
         "a", "b", F.posexplode(F.array("a", "b")).alias("side", "end")
     )
-    if pairs.count() <= BROADCAST:
-        ends = F.broadcast(ends)
     end = F.struct("side", "n", "values")
     return (
         known.join(ends, F.col("doc_id") == F.col("end"))
@@ -472,13 +543,16 @@ def near_groups(
     first_ids = stored(
         usable.groupBy("high", "low").agg(F.min("doc_id").alias("first_id")), "minhash-first"
     )
-    lists = inverted_lists(docs, first_ids, words, percent, keep)
-    tried = stored(first_round(lists, percent, keep), "minhash-first-pairs")
+    retained = usable.agg(F.sum(F.least("n", F.lit(keep)))).first()[0] or 0
+    scratch = Scratch(docs.sparkSession)
+    lists = inverted_lists(docs, first_ids, words, percent, keep, retained, scratch)
+    tried = stored(first_round(lists, percent, scratch), "minhash-first-pairs")
     links = confirmed(docs, tried, words, percent)
-    rest = second_round(lists, components(links), percent, keep).join(
+    rest = second_round(lists, components(links), percent, keep, scratch).join(
         tried, ["a", "b"], "left_anti"
     )
     rest = stored(rest, "minhash-second-pairs")
+    scratch.give_up()
     links = links.union(confirmed(docs, rest, words, percent))
     # rows that share a doc_id are one document, whatever their texts
     same_id = (
@@ -513,8 +587,30 @@ def near_groups(
 
 
 def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    gone_id = fresh_name(docs, "gone_id")
-    gone = near_groups(docs, words, percent).where("not kept")
-    gone = gone.select(F.col("doc_id").alias(gone_id))
-    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
+    """The rows of ``docs`` that stay, one of each group, with all their columns.
+
+    Rows are judged one by one: each gets a number of its own first, so that rows which
+    share an id, or have none, are linked by their own texts. Of a group the row with the
+    smallest doc_id stays, one without an id last; ties go by a digest of the row.
+    """
+    row, digest = fresh_name(docs, "row_number"), fresh_name(docs, "row_digest")
+    numbered = with_digest(docs, digest).withColumn(row, F.monotonically_increasing_id())
+    rows = stored(numbered, "minhash-rows")  # the numbers are fixed from here on
+    groups = near_groups(rows.select(F.col(row).alias("doc_id"), "text"), words, percent)
+    place = rows.select(F.col(row).alias("of_row"), F.col("doc_id").alias("id"), digest)
+    groups = stored(
+        groups.where("n_shingles > 0").select(F.col("doc_id").alias("member"), "component_id"),
+        "minhash-groups",
+    )
+    several = groups.groupBy("component_id").count().where("count > 1").select("component_id")
+    linked = stored(groups.join(several, "component_id"), "minhash-linked")
+    order = F.struct(F.col("id").isNull(), "id", digest, "member")
+    stays = (
+        linked.join(place, F.col("member") == F.col("of_row"))
+        .groupBy("component_id")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.member").alias("member"))
+    )
+    gone_row = fresh_name(rows, "gone_row")
+    gone = linked.join(stays, "member", "left_anti").select(F.col("member").alias(gone_row))
+    return rows.join(gone, F.col(row) == F.col(gone_row), "left_anti").drop(row, digest)

@@ -123,6 +123,16 @@ def test_exact_copies_of_rows_that_share_ids(spark, docs, shared_ids):
         assert {r.text or "": (r.doc_id is not None, r.doc_id) for r in found} == last
 
 
+def test_near_copies_of_rows_that_share_ids(spark):
+    near, other = PROSE + "and more", "something else entirely that stands alone in the table"
+    rows = [(3, PROSE), (7, near), (7, other), (None, PROSE + "at last"), (None, other + " with much more text behind it")]
+    rows += [(7, f"unlike number {i} of the seven " * 3) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {tuple(r) for r in minhash.without_near_copies(docs).collect()}
+    gone = {(7, near), (None, PROSE + "at last")}
+    assert kept >= {(3, PROSE), (7, other), (None, other + " with much more text behind it")} and not kept & gone
+
+
 def test_long_texts_that_share_ids_are_named_one_by_one(spark):
     long = "word " * 9000
     rows = [(None, long + "a"), (None, long + "b"), (7, long + "a"), (7, long + "c"), (7, long + "c")]
