@@ -75,16 +75,18 @@ def day_before(value) -> Column:
     return F.date_sub(day(value), 1)
 
 
+def open_end(column: str | Column = "valid_to") -> Column:
+    """The last day of a version; one without an end is still true."""
+    end = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(end, F.lit(END_OF_TIME).cast("date"))
+
+
 def previous_window(run_ts) -> Column:
     """The window a scheduled run works on: the day before it, as yyyy-MM-dd text."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
     return F.date_format(F.date_sub(ts.cast("date"), 1), "yyyy-MM-dd")
 
 
-def on_day(column: str, value) -> Column:
-    return F.col(column) == day(value)
-
-
 def in_month(column: str, year: int, month: int) -> Column:
     """A closed-open date range rather than month(): it reaches the scan as a filter."""
     first = F.make_date(F.lit(year), F.lit(month), F.lit(1))

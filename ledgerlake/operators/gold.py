@@ -97,10 +97,15 @@ def traded_value_by_month(
         "security_id": securities,
         **(extra_dims or {}),
     }
-    return totals(
-        star_join(fact, dims),
-        ["month_name", "year", "asset_class", "trade_type", *extra],
-        total="total_traded_value",
+    # summed per key first: a security with much of the fact reaches the join as a row a day
+    own = [c for c in extra if c in fact.columns]
+    sums = fact.groupBy(*dims, "trade_type", *own).agg(
+        F.sum("trade_value").alias("_value"), F.count("*").alias("_rows")
+    )
+    groups = star_join(sums, dims).groupBy("month_name", "year", "asset_class", "trade_type", *extra)
+    return groups.agg(
+        total_of("_value").alias("total_traded_value"),
+        F.sum("_rows").cast("bigint").alias("trade_count"),
     )
 
 

@@ -184,11 +184,16 @@ def _chained(states: DataFrame, key: str, compare: Sequence[str], date: str) ->
     """Dated states of each key, one per date, reduced to versions that follow each other.
 
     A state equal to the one before it starts no version. A key's group is at most as
-    long as the number of dates, so one shuffle by key does it all.
+    long as the number of dates, so one shuffle by key does it all. A key that is there
+    twice on one date would end a version before it starts: the run fails instead, found
+    in the same window.
     """
     by_date = W.partitionBy(key).orderBy(date)
-    state = F.struct(*compare)
-    starts = F.lag(date).over(by_date).isNull() | ~F.lag(state).over(by_date).eqNullSafe(state)
+    state, before = F.struct(*compare), F.lag(date).over(by_date)
+    repeated = F.raise_error(f"{key} repeats on one date; reduce the rows with latest_per_key")
+    starts = F.when(before == F.col(date), repeated.cast("boolean")).otherwise(
+        before.isNull() | ~F.lag(state).over(by_date).eqNullSafe(state)
+    )
     versions = states.withColumn("_starts", starts).where("_starts").drop("_starts")
     ends = F.date_sub(F.lead(date).over(by_date), 1)
     return versions.withColumn("valid_to", F.coalesce(ends, forever())).withColumns(
@@ -201,7 +206,7 @@ def scd2_from_snapshots(
 ) -> DataFrame:
     """The history of a whole series of dated snapshots in one pass.
 
-    Needs one row per key and date. Equals applying the snapshots one by one.
+    A key twice on one date fails the run. Equals applying the snapshots one by one.
     """
     states = snapshots.where(F.col(key).isNotNull())
     return _chained(states, key, compare, date).drop(date)
@@ -216,7 +221,9 @@ def scd2_fold(
     """History after several dated snapshots, as if ``scd2_apply`` ran for each in turn.
 
     All batches are chained at once: one shuffle, however many there are. A snapshot
-    row not later than the key's current version is left out, as it would be refused.
+    row not later than the key's current version is left out, as it would be refused, and
+    so is one without a key: ``scd2_fold_refused`` returns those. A key twice in one
+    snapshot fails the run.
     """
     dated = sorted(batches, key=lambda batch: str(batch[0]))
     if len({str(d) for d, _ in dated}) < len(dated):
@@ -233,6 +240,28 @@ def scd2_fold(
     return historical(history).unionByName(chained.select(history.columns))
 
 
+def scd2_fold_refused(
+    history: DataFrame,
+    batches: Iterable[tuple[object, DataFrame]],
+    key: str,
+    compare: Sequence[str],
+) -> DataFrame:
+    """The rows of all snapshots that ``scd2_fold`` leaves out, with batch_date and reason.
+
+    A row is late if it differs from a current version as new as its batch; versions that
+    earlier batches of the series open are older than later batches, so the history before
+    the fold decides. One join, however many batches there are.
+    """
+    dated = [df.withColumn("batch_date", day(d)) for d, df in batches]
+    rows = assemble(*dated)
+    unkeyed = rows.where(F.col(key).isNull()).withColumn("reason", F.lit("no key"))
+    pairs = _paired(current(history), rows, key, "inner")
+    late = pairs.where(
+        (F.col("new.batch_date") <= F.col("old.valid_from")) & differs(compare, "old", "new")
+    )
+    return late.select("new.*").withColumn("reason", F.lit("late")).unionByName(unkeyed)
+
+
 def history_of(history: DataFrame, keys: DataFrame | Column, key: str) -> DataFrame:
     """Every version of the wanted keys, oldest first."""
     rows = history.where(keys) if isinstance(keys, Column) else keep_keys(history, keys, [key])

@@ -10,10 +10,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.columns import END_OF_TIME
+from ledgerlake.functions.columns import open_end
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
@@ -58,11 +59,13 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], how: str = "inner"
 
 
 def enrich(
-    fact: DataFrame, dims: Mapping[str, DataFrame], how: str = "left", limit: int = BROADCAST_LIMIT
+    fact: DataFrame, dims: Mapping[str, DataFrame], how: str = "left", limit: int = 0
 ) -> DataFrame:
-    """Attach dimension attributes without moving the fact when the dimensions are small.
+    """Attach dimension attributes.
 
-    The dimensions are measured together; ``limit`` holds for each of them.
+    Adaptive execution broadcasts a dimension that turns out small. With a ``limit`` the
+    dimensions are measured first, together and at once, and those below it are broadcast:
+    worth a job of its own where the fact must not be shuffled in any case.
     """
     if limit > 0:
         sizes = measured_bytes(*dims.values())
@@ -92,7 +95,7 @@ def drop_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], limit: int = 0)
 
 
 def join_current(
-    fact: DataFrame, history: DataFrame, key: str, how: str = "left", limit: int = BROADCAST_LIMIT
+    fact: DataFrame, history: DataFrame, key: str, how: str = "left", limit: int = 0
 ) -> DataFrame:
     """Join today's version only, so a versioned dimension cannot multiply the fact."""
     current = history.where("is_current").drop("valid_from", "valid_to", "is_current")
@@ -122,51 +125,101 @@ def join_as_of(
     fact_date: str,
     how: str = "left",
     limit: int = BROADCAST_LIMIT,
+    days: int = 92,
 ) -> DataFrame:
-    """Attach the version valid on the fact's date; both ends of a version count.
+    """Attach the version valid on the fact's date; both ends of a version count, and a
+    version without an end is still true.
 
-    ``how`` is ``left`` or ``inner``: versions without a fact are not results here.
+    ``how`` is ``left`` or ``inner``: versions without a fact are not results here. The
+    versions of a key must not overlap (``check_history`` tells).
 
-    A history that measures small is broadcast. A larger one is joined on (key, month):
-    each version is repeated for the months it covers inside the fact's date span, so
-    a row meets only versions of its own month and a hot key spreads over all months.
-    One aggregate finds that span, so no version a fact needs is cut off.
+    A history that measures small is broadcast. A larger one is merged with the fact, see
+    ``_carried``; ``days`` is the length of the parts a key is split into.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"an as-of join is left or inner, not {how}")
-    versions = history.drop("is_current")
-    inside = F.col(fact_date).between(F.col("valid_from"), F.col("valid_to"))
-    attributes = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
-
-    if small(versions, limit):
-        right, on = F.broadcast(versions.withColumnRenamed(key, "_key")), F.lit(True)
-        left = fact
-    else:
-        low, high = fact.agg(F.min(fact_date), F.max(fact_date)).first()
-        low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
-        months = F.sequence(
-            F.trunc(F.greatest("valid_from", low), "month"),
-            F.trunc(F.least("valid_to", high), "month"),
-            F.expr("interval 1 month"),
-        )
-        right = (
-            versions.where((F.col("valid_from") <= high) & (F.col("valid_to") >= low))
-            .withColumn("_month", F.explode(months))
-            .withColumnRenamed(key, "_key")
-        )
-        left = fact.withColumn("_fact_month", F.trunc(F.col(fact_date), "month"))
-        on = F.col("_fact_month") == F.col("_month")
+    versions = history.drop("is_current").where(
+        F.col(key).isNotNull() & F.col("valid_from").isNotNull()
+    )
+    shown = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
+    shown += ["valid_from", "valid_to"]
+    if not small(versions, limit):
+        return _carried(fact, versions, key, fact_date, shown, how, days)
+    right = F.broadcast(versions.withColumnRenamed(key, "_key"))
+    inside = F.col(fact_date).cast("date").between(F.col("valid_from"), open_end())
+    joined = fact.join(right, (F.col(key) == F.col("_key")) & inside, how)
+    return joined.select(*fact.columns, *shown)
 
-    joined = left.join(right, (F.col(key) == F.col("_key")) & on & inside, how)
-    return joined.select(*fact.columns, *attributes, "valid_from", "valid_to")
+
+def _carried(
+    fact: DataFrame,
+    versions: DataFrame,
+    key: str,
+    fact_date: str,
+    shown: Sequence[str],
+    how: str,
+    days: int,
+) -> DataFrame:
+    """The point-in-time join as a merge: one shuffle of facts and versions together.
+
+    Rows are ordered by date within parts of (key, ``days`` days), and each fact takes the
+    last version that began before it. A version is not repeated for the time it covers:
+    for every part that holds a fact, one row brings in the version open when the part
+    begins, found from the distinct (key, part) pairs. A key with a third of all rows thus
+    lies on as many tasks as there are parts. Facts without key or date match nothing and
+    stay with the rows they were read with.
+    """
+    part = F.floor(F.unix_date("_at") / days).cast("long")
+    matched = F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    facts = fact.select(
+        F.col(key).alias("_key"),
+        F.col(fact_date).cast("date").alias("_at"),
+        F.lit(2).alias("_kind"),
+        F.struct(*fact.columns).alias("_fact"),
+    ).withColumn("_part", F.when(matched, part).otherwise(-1 - F.spark_partition_id()))
+    starts = versions.select(
+        F.col(key).alias("_key"),
+        F.col("valid_from").alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.struct(*shown).alias("_version"),
+    ).withColumn("_part", part)
+    asked = (
+        facts.where(matched)
+        .select("_key", "_part")
+        .distinct()
+        .withColumns(
+            {
+                "_at": F.date_from_unix_date((F.col("_part") * days).cast("int")),
+                "_kind": F.lit(0),  # before the versions that begin on the part's first day
+            }
+        )
+    )
+    last = F.last("_version", ignorenulls=True)
+    by_key = W.partitionBy("_key").orderBy("_at", "_kind")
+    opened = (
+        asked.unionByName(starts, allowMissingColumns=True)
+        .withColumn("_version", last.over(by_key.rowsBetween(W.unboundedPreceding, 0)))
+        .where((F.col("_kind") == 0) & F.col("_version").isNotNull())
+    )
+    in_part = W.partitionBy("_key", "_part").orderBy("_at", "_kind")
+    rows = (
+        facts.unionByName(starts, allowMissingColumns=True)
+        .unionByName(opened, allowMissingColumns=True)
+        .withColumn("_version", last.over(in_part.rowsBetween(W.unboundedPreceding, 0)))
+        .where("_kind = 2")
+    )
+    valid = matched & (F.col("_at") <= open_end("_version.valid_to"))
+    if how == "inner":
+        rows = rows.where(valid & F.col("_version").isNotNull())
+    return rows.select(
+        "_fact.*", *(F.when(valid, F.col(f"_version.`{c}`")).alias(c) for c in shown)
+    )
 
 
 def as_of(history: DataFrame, date) -> DataFrame:
     """The table as it was true on one date."""
     d = F.lit(date).cast("date")
-    return history.where(
-        (F.col("valid_from") <= d) & (F.coalesce("valid_to", F.lit(END_OF_TIME).cast("date")) >= d)
-    )
+    return history.where((F.col("valid_from") <= d) & (open_end() >= d))
 
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, name: str) -> DataFrame:

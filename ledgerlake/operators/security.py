@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.gold import total_of, totals
 from ledgerlake.operators.joins import BROADCAST_LIMIT, keep_keys
+from ledgerlake.sinks.tables import quoted
 
 
 def caller(df: DataFrame, principal: str | None) -> str:
@@ -103,6 +104,11 @@ def _visible(per_key: DataFrame, who: Sequence[Column]) -> DataFrame:
     )
 
 
+def as_text(value: str) -> str:
+    """A value as a SQL string, whatever signs it holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_visibility_function(
     spark: SparkSession, name: str, mapping_table: str, admins: Collection[str] = ()
 ) -> None:
@@ -111,10 +117,7 @@ def create_visibility_function(
     Admins see every key. Use it as ``FROM fact, LATERAL name(fact.trader_id, login)``.
     """
 
-    def quoted(login: str) -> str:
-        return "'" + login.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    listed = ", ".join(["NULL", *map(quoted, admins)])
+    listed = ", ".join(["NULL", *map(as_text, admins)])
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(key BIGINT, login STRING)
@@ -140,3 +143,30 @@ def create_secured_view(
     seen = rows.join(mine, F.col(key) == F.col("_mine"), "left")
     seen = seen.where(F.col("_mine").isNotNull() | (me == F.lit(admin)))
     seen.select(*rows.columns).createOrReplaceTempView(name)
+
+
+def create_stored_secured_view(
+    spark: SparkSession,
+    name: str,
+    table: str,
+    mapping_table: str,
+    admins: Collection[str] = (),
+    key: str = "trader_id",
+) -> None:
+    """The same policy as a view of the catalog, so it outlives the session that made it.
+
+    Whoever reads the view, in whatever session, gets the rows of their own keys: the
+    reader's name is asked for when the view is read. Table and map must be tables or
+    views of the catalog themselves.
+    """
+    column = quoted(key)
+    listed = ", ".join(["NULL", *map(as_text, admins)])
+    spark.sql(
+        f"""
+        CREATE OR REPLACE VIEW {quoted(name)} AS
+        SELECT f.* FROM {quoted(table)} AS f
+        WHERE session_user() IN ({listed})
+           OR EXISTS (SELECT 1 FROM {quoted(mapping_table)} AS m
+                      WHERE m.{column} = f.{column} AND m.login_name = session_user())
+        """
+    )

@@ -10,8 +10,19 @@ from pyspark.sql import types as T
 from ledgerlake.operators.conform import silver_trades
 from ledgerlake.operators.gold import gold_daily
 from ledgerlake.operators.history import scd2_apply, scd2_init
-from ledgerlake.operators.quality import blotter_suite, gate
-from ledgerlake.sinks.tables import changed_versions, write_history, write_parquet
+from ledgerlake.operators.quality import (
+    blotter_suite,
+    gate,
+    refuse_failed,
+    watched,
+    watched_results,
+)
+from ledgerlake.sinks.tables import (
+    changed_versions,
+    show_version,
+    write_history,
+    write_version,
+)
 from ledgerlake.sources.files import read_or_create, read_parquet
 
 HISTORY_FIELDS = (
@@ -33,28 +44,44 @@ class Build:
 
 
 def build(
-    spark: SparkSession, bronze: DataFrame, traders: DataFrame, lake: str, batch_date
+    spark: SparkSession,
+    bronze: DataFrame,
+    traders: DataFrame,
+    lake: str,
+    batch_date,
+    prefix: str = "blotter",
 ) -> Build:
-    """Build and store each layer, and check it before the next one reads it.
+    """Build, check and publish each layer; history only grows.
 
-    Bronze stays a view. A failed check of severity ``error`` raises and leaves the
-    layers after it unbuilt. Gold is rebuilt from Silver; history only grows.
+    A layer is written to a folder of its own, where its row checks are counted by the
+    write itself. Only if no check of severity ``error`` failed does the layer's view
+    (``prefix`` and its name) move to that folder; otherwise the run stops, and the view
+    keeps showing the layer before. Bronze stays a view of its source.
     """
     checks = []
+    suite = blotter_suite()
 
-    def checked(tables: dict[str, DataFrame]) -> None:
-        checks.extend(gate(tables, [c for c in blotter_suite() if c.table in tables]))
+    def of(table: str) -> list:
+        return [c for c in suite if c.table == table]
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        write_parquet(df, f"{lake}/{name}")
-        return read_parquet(spark, f"{lake}/{name}")
+    def layered(df: DataFrame, name: str, with_tables: dict | None = None) -> DataFrame:
+        rows, seen = watched(df, of(name))
+        folder = write_version(rows, f"{lake}/{name}")
+        stored = read_parquet(spark, folder)
+        results = watched_results(seen, of(name), {name: stored, **(with_tables or {})})
+        checks.extend(results)
+        refuse_failed(results)
+        return show_version(spark, folder, f"{prefix}_{name}")
 
-    checked({"bronze_trades": bronze, "dim_trader": traders})
-    silver = stored(silver_trades(bronze), "silver_trades")
-    checked({"silver_trades": silver})
-    gold = stored(gold_daily(silver), "gold_fact_trades_daily")
-    dim = stored(traders, "gold_dim_trader")
-    checked({"gold_fact_trades_daily": gold, "gold_dim_trader": dim})
+    # Bronze is read once: its rows are counted on their way into Silver
+    rows, seen = watched(bronze, of("bronze_trades"))
+    checks.extend(gate({"dim_trader": traders}, of("dim_trader")))
+    silver = layered(silver_trades(rows), "silver_trades")
+    results = watched_results(seen, of("bronze_trades"), {"bronze_trades": bronze})
+    checks.extend(results)
+    refuse_failed(results)
+    dim = layered(traders, "gold_dim_trader")
+    gold = layered(gold_daily(silver), "gold_fact_trades_daily", {"gold_dim_trader": dim})
 
     path = f"{lake}/gold_dim_trader_scd2"
     schema = T.StructType([*dim.schema, *HISTORY_FIELDS])

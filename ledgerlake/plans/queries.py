@@ -472,14 +472,21 @@ def _(b: Blotter):
 @query(
     "preview_rows",
     "silver_trades",
-    sql="""select trade_id, trader_id, trade_type from silver_trades
-           where trade_id = (select max(trade_id) from silver_trades)""",
+    sql="""select least(count(*), 5) as n, true as all_known,
+                  least(count(*), 5) as n_different from silver_trades""",
 )
 def _(b: Blotter):
+    """Any five trades: how many they are, and whether each is a trade of Silver."""
     silver = b.silver()
-    last = silver.agg(F.max("trade_id")).first()[0]
-    found = ranking.preview(silver, 5, F.col("trade_id") == last)
-    return found.select("trade_id", "trader_id", "trade_type")
+    path = work_folder(b.spark, "preview")
+    sinks.write_parquet(ranking.preview(silver, 5).select("trade_id"), path)
+    found = files.read_parquet(b.spark, path)
+    known = joins.keep_keys(silver.select("trade_id"), found, ["trade_id"])
+    return found.agg(
+        F.count("*").alias("n"),
+        (F.count("*") == F.lit(known.count())).alias("all_known"),
+        F.count_distinct("trade_id").alias("n_different"),
+    )
 
 
 @query(
@@ -1206,14 +1213,15 @@ def _(b: Blotter):
     "bronze_trades",
     "silver_trades",
     sql="""select cast(d as varchar) as window_date,
-                  (select count(*) from bronze_trades where trade_date = d) as bronze_row_count,
-                  (select count(*) from silver_trades where trade_date = d) as silver_row_count
-           from (select cast(unnest(generate_series(date '1998-01-01', date '1998-01-31',
-                                                    interval 1 day)) as date) as d) as days""",
+                  coalesce(bn, 0) as bronze_row_count, coalesce(sn, 0) as silver_row_count
+           from (select distinct cast(o_orderdate as date) as d from orders) as days
+           left join (select trade_date as d, count(*) as bn from bronze_trades group by 1) using (d)
+           left join (select trade_date as d, count(*) as sn from silver_trades group by 1) using (d)""",
 )
 def _(b: Blotter):
-    """A month of windows in one load."""
-    days = [f"1998-01-{day:02d}" for day in range(1, 32)]
+    """All windows in one load, one per day of the calendar that has orders."""
+    ordered = b.table("orders").select(F.col("o_orderdate").cast("date")).distinct()
+    days = [r[0] for r in ordered.collect()]
     return windows.load_windows(
         b.spark, b.bronze(), work_folder(b.spark, "month"), days, LOADED_AT
     )

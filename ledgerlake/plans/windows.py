@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import with_audit, with_trade_value
@@ -112,11 +113,14 @@ def backfill(bronze: DataFrame, now) -> DataFrame:
         bronze, ["trade_date", "trade_id"], ["last_modified_ts"], BLOTTER_TIES[1:]
     )
     good, _ = split_valid(newest, trade_rules())
-    valued = with_trade_value(good)
-    identity = F.struct("trade_date", "security_id", "trader_id", "trade_type")
-    amounts = F.struct("quantity", "price", "trade_value")
-    merged = valued.groupBy("trade_id").agg(
-        F.min_by(identity, "trade_date").alias("identity"),
-        F.max_by(amounts, "trade_date").alias("amounts"),
+    by_date = W.partitionBy("trade_id").orderBy("trade_date")
+    first = by_date.rowsBetween(W.unboundedPreceding, 0)
+    identity = ("trade_date", "security_id", "trader_id", "trade_type")
+    merged = with_trade_value(good).withColumns(
+        {
+            "_last": F.lead(F.lit(1)).over(by_date).isNull(),
+            **{c: F.first(c).over(first) for c in identity},
+        }
     )
-    return with_audit(merged.select("trade_id", "identity.*", "amounts.*"), now)
+    amounts = ("quantity", "price", "trade_value")
+    return with_audit(merged.where("_last").select("trade_id", *identity, *amounts), now)

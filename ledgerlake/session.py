@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,19 @@ def local_session(name: str, cpus: int | str = 8, **extra: str) -> SparkSession:
     return spark
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the plans made inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the session names.
 

@@ -15,6 +15,12 @@ def write_parquet(df: DataFrame, path: str, codec: str = "snappy") -> None:
     df.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder was committed."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def land(df: DataFrame, source: str, path: str) -> None:
     """Copy rows as they arrived into Parquet, never over the folder they come from."""
     if path.rstrip("/") == source.rstrip("/"):
@@ -50,6 +56,21 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, codec: str = "sna
     )
 
 
+def write_keyed(df: DataFrame, path: str, partition: str, key: str) -> None:
+    """As ``write_partitioned``, with each folder's rows in key order and a Bloom filter on
+    the key in every row group, so that a later look for a few keys skips most of them."""
+    (
+        df.hint("rebalance", partition)
+        .sortWithinPartitions(partition, key)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")  # as large as the keys need
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def write_window(df: DataFrame, root: str, window_date) -> None:
     """Store one day's rows in its own folder; a rerun replaces that day only."""
     write_partitioned(
@@ -114,6 +135,72 @@ def publish(spark: SparkSession, df: DataFrame, table: str, path: str | None = N
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
+def publish_version(
+    spark: SparkSession, df: DataFrame, name: str, root: str, **properties: str
+) -> DataFrame:
+    """Replace what a catalog view shows, in one step.
+
+    The rows go to a folder of their own below ``root``; one statement then points the
+    view at it. A reader finds the old rows or the new ones, never none, a run that stops
+    before that statement changes nothing, and ``df`` may read the view itself.
+    ``properties`` are stored with the view in the same statement.
+    """
+    return show_version(spark, write_version(df, root), name, **properties)
+
+
+def write_version(df: DataFrame, root: str) -> str:
+    """The rows in a new folder below ``root``, which nothing shows yet."""
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    write_parquet(df, folder)
+    return folder
+
+
+def quoted(name: str) -> str:
+    """A table name, its parts in backquotes."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
+def show_version(spark: SparkSession, folder: str, name: str, **properties: str) -> DataFrame:
+    """Point the view at a stored folder."""
+    marks = ", ".join(
+        "'{}' = '{}'".format(k, str(v).replace("\\", "\\\\").replace("'", "\\'"))
+        for k, v in properties.items()
+    )
+    stored = f"TBLPROPERTIES ({marks})" if marks else ""
+    place = folder.replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} {stored} AS SELECT * FROM parquet.`{place}`")
+    return spark.table(name)
+
+
+def version_property(spark: SparkSession, name: str, key: str) -> str | None:
+    """A property stored with the version shown now."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").where(F.col("key") == key).collect()
+    return rows[0]["value"] if rows else None
+
+
+def write_bucketed(
+    df: DataFrame, name: str, n: int, *keys: str, path: str | None = None
+) -> DataFrame:
+    """A table in n buckets by key, each in key order: joins and groups by the key, and
+    between tables of equal buckets, need no shuffle.
+
+    Rows are brought to their bucket first, so a bucket is one file and not one per task.
+    """
+    writer = (
+        df.repartition(n, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(n, *keys)
+        .sortBy(*keys)
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def materialize(
     spark: SparkSession, df: DataFrame, name: str, kind: str, path: str | None = None
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +13,8 @@ from ledgerlake.operators.conform import distinct_rows
 from ledgerlake.sources.files import CSV_READ, read_or_create
 
 
-def with_fingerprint(df: DataFrame) -> DataFrame:
-    """A digest of the whole row, so copies are found from one column of the target.
+def with_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A digest of the row, or of some of its columns, so copies are found from one column of the target.
 
     Every cell enters in full, with its length before it; a missing one has its own mark.
     """
@@ -21,7 +23,8 @@ def with_fingerprint(df: DataFrame) -> DataFrame:
         value = F.hex(F.col(name)) if kind == "binary" else F.col(name).cast("string")
         return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
 
-    row = F.concat_ws("|", *(cell(c, kind) for c, kind in df.dtypes))
+    wanted = set(df.columns if columns is None else columns)
+    row = F.concat_ws("|", *(cell(c, kind) for c, kind in df.dtypes if c in wanted))
     return df.withColumn("row_digest", F.unhex(F.sha2(row, 256)))
 
 
