@@ -94,7 +94,7 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
             continue
         end = data.index(b"\n", at)
         line, begin = data[at:end].decode("utf-8"), end + 1
-        if line.startswith("filedesc://"):
+        if not names and line.startswith("filedesc://"):  # the file's first line; later a url
             at = begin + int(line.rsplit(" ", 1)[1])
             names = FIELDS[int(data[begin:at].split(b" ", 1)[0])].split(" ")
             continue

@@ -18,7 +18,7 @@ one; a null page_id or url is passed on. Other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -60,6 +60,11 @@ TAG_WEIGHT = {
     "article": 8.0, "main": 4.0, "nav": -12.0, "footer": -12.0, "header": -9.0, "aside": -12.0,
     "form": -9.0, "menu": -12.0, "dialog": -12.0, "fieldset": -6.0, "search": -12.0,
 }
+ROLE_TAG = {  # landmarks weigh like their elements
+    "complementary": "aside", "contentinfo": "footer", "search": "search", "form": "form",
+    "banner": "header", "navigation": "nav", "menu": "menu", "menubar": "menu",
+    "dialog": "dialog", "alertdialog": "dialog",
+}
 OWN_WEIGHT = {"p": 1.0, "pre": 1.0, "blockquote": 1.0, "h1": 0.5, "h2": 0.3, "h3": 0.3}
 BAD_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored "
@@ -148,6 +153,15 @@ def wording(attributes: str, tag: str = "", around: Element | None = None) -> tu
     return (GOOD_WEIGHT if good else 0.0), part
 
 
+def landmark(attributes: str) -> str | None:
+    """The element that an element's role makes it one of, if it is a part beside the text."""
+    for kind, value in _ATTRIBUTE.findall(attributes) if "role" in attributes.lower() else ():
+        if kind.lower() == "role":
+            names = value.strip("\"'").lower().split()
+            return ROLE_TAG.get(names[0]) if names else None
+    return None
+
+
 def weigh(elements: list[Element], found: list[Block]) -> None:
     """Sum the weights from the page inwards.
 
@@ -229,6 +243,7 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
     block = Block(0)
     at, unread = 0, 0
     loose, endless = left_open(page), set()
+    opened: Counter = Counter()  # elements on the stack, by tag
 
     def say(text: str) -> None:
         if unread and elements[stack[-1]].tag == "head" and text.strip():
@@ -251,6 +266,7 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
         nonlocal unread
         while len(stack) > depth:
             tag = elements[stack.pop()].tag
+            opened[tag] -= 1
             unread -= tag in UNREAD
             if tag in BLOCKS:
                 finish()
@@ -269,13 +285,13 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
         if not name:
             continue
         if tag[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if elements[stack[depth]].tag == name:
-                    close(depth)
-                    break
-            else:
-                if name in BLOCKS:
-                    finish()
+            if opened[name]:
+                depth = len(stack) - 1
+                while elements[stack[depth]].tag != name:
+                    depth -= 1
+                close(depth)
+            elif name in BLOCKS:
+                finish()
             continue
         if unread and name not in HEAD:
             for depth in range(len(stack) - 1, 0, -1):
@@ -309,11 +325,14 @@ def blocks_of(page: str) -> tuple[list[Element], list[Block]]:
         weight = 0.0
         if not (name == "header" and above.article):
             weight = TAG_WEIGHT.get(name, 0.0)
+        if role := landmark(tag[3]):
+            weight = min(weight, TAG_WEIGHT[role])
         article = above.article or name in ("article", "main")
         link = above.link or name == "a"
         left = tag.start() in loose
         elements.append(Element(name, stack[-1], weight, link, article, left, says, part))
         stack.append(len(elements) - 1)
+        opened[name] += 1
         unread += name in UNREAD
         block.element = stack[-1] if not block.parts else block.element
         if name in RAW:
@@ -346,7 +365,7 @@ def minimum_cut(gains: list[float], edges: list[tuple[int, int, float]]) -> list
     """Which nodes stay with the source when flow is at its maximum.
 
     A node with gain g > 0 is tied to the source with capacity g, one with g < 0 to the
-    sink with -g; edges are open both ways. Shortest augmenting paths.
+    sink with -g; edges are open both ways. Blocking flows over levels.
     """
     count = len(gains)
     source, sink = count, count + 1
@@ -371,24 +390,45 @@ def minimum_cut(gains: list[float], edges: list[tuple[int, int, float]]) -> list
         tie(a, b, capacity, capacity)
 
     while True:
-        came = {source: -1}
+        level = [-1] * (count + 2)
+        level[source] = 0
         queue = deque([source])
-        while queue and sink not in came:
+        while queue:
             node = queue.popleft()
             for edge in heads[node]:
-                if room[edge] > 1e-9 and to[edge] not in came:
-                    came[to[edge]] = edge
+                if room[edge] > 1e-9 and level[to[edge]] < 0:
+                    level[to[edge]] = level[node] + 1
                     queue.append(to[edge])
-        if sink not in came:
-            return [node in came for node in range(count)]
-        path, node = [], sink
-        while node != source:
-            path.append(came[node])
-            node = to[came[node] ^ 1]
-        flow = min(room[edge] for edge in path)
-        for edge in path:
-            room[edge] -= flow
-            room[edge ^ 1] += flow
+        if level[sink] < 0:
+            return [level[node] >= 0 for node in range(count)]
+        tried = [0] * (count + 2)  # edges of a node that lead nowhere on these levels
+        path: list[int] = []
+        node = source
+        while True:
+            if node == sink:
+                flow = min(room[edge] for edge in path)
+                for edge in path:
+                    room[edge] -= flow
+                    room[edge ^ 1] += flow
+                full = next(i for i, edge in enumerate(path) if room[edge] <= 1e-9)
+                node = to[path[full] ^ 1]
+                del path[full:]
+                continue
+            own = heads[node]
+            while tried[node] < len(own):
+                edge = own[tried[node]]
+                if room[edge] > 1e-9 and level[to[edge]] == level[node] + 1:
+                    break
+                tried[node] += 1
+            if tried[node] < len(own):
+                path.append(edge)
+                node = to[edge]
+            elif path:
+                edge = path.pop()
+                node = to[edge ^ 1]
+                tried[node] += 1
+            else:
+                break
 
 
 def labels(gains: list[float], parents: list[int]) -> list[bool]:

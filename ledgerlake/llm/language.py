@@ -49,10 +49,9 @@ _KEPT[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _KEPT[0x80:] = np.arange(0x80, 0x100)
 _SILENT = re.compile(r"<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
 _TAG = re.compile(r"<[/a-zA-Z!?][^>]*(?:>|\Z)")
-_HTML_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]{2,8})", re.I)
-_META_LANG = re.compile(
-    r"<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-zA-Z]{2,8})", re.I
-)
+_HEAD_TAG = re.compile(r"<(html|meta)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_CODE = re.compile(r"\s*([a-zA-Z]{2,8})")
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -72,9 +71,24 @@ def visible(html: str) -> str:
 
 
 def declared(html: str) -> str | None:
-    """The language a page's markup names, without its region."""
-    found = _HTML_LANG.search(html) or _META_LANG.search(html)
-    return found[1].lower() if found else None
+    """The language a page's markup names, without its region.
+
+    The html element's own lang comes first, then a meta element for the content's
+    language; comments and scripts declare nothing.
+    """
+    named = None
+    for tag, text in _HEAD_TAG.findall(_SILENT.sub(" ", html)):
+        attributes: dict[str, str] = {}
+        for name, value in _ATTRIBUTE.findall(text):
+            attributes.setdefault(name.lower(), value.strip("\"'"))
+        if tag.lower() == "html":
+            code = _CODE.match(attributes.get("lang") or attributes.get("xml:lang") or "")
+            if code:
+                return code[1].lower()
+        elif attributes.get("http-equiv", attributes.get("name", "")).lower() == "content-language":
+            code = _CODE.match(attributes.get("content", ""))
+            named = named or (code[1].lower() if code else None)
+    return named
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerlake.llm.common import whole
 
@@ -42,6 +43,7 @@ STRETCH = 4
 FLOOR = 0.05
 ROWS_PER_RANGE = 1024
 MOST_RANGES = 16384
+STEP = 128  # cuts looked through at a time
 
 
 def words(text: Column) -> Column:
@@ -118,22 +120,40 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
+def numbers(values) -> Column:
+    """A constant array of doubles, sent as one text."""
+    listed = ",".join(map(repr, values))
+    return F.split(F.lit(listed), ",").cast("array<double>") if listed else F.array().cast("array<double>")
+
+
 def with_next(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
     """Add ``next_<column>`` from the row that follows in descending doc_id.
 
-    After the last row comes the first. Ranges are MOST_RANGES at most, so the table of
+    After the last row comes the first. Ranges end at quantiles of doc_id, so that ids may lie
+    anywhere; they are MOST_RANGES at most, so the table of
     their first rows is bounded and may be broadcast.
     """
-    low, high, count = df.agg(
-        F.min("doc_id"), F.max("doc_id"), F.count("*")
-    ).first()
+    if isinstance(df.schema["doc_id"].dataType, StringType):  # the first bytes keep the order
+        bytes6 = F.rpad(F.substring(F.hex("doc_id"), 1, 12), 12, "0")
+        value = F.conv(bytes6, 16, 10).cast("double")
+    else:
+        value = F.col("doc_id").cast("double")  # may round, never turns two ids round
+    count = df.count()
+    ranges = min(MOST_RANGES, max(1, count // ROWS_PER_RANGE))
     if not count:
         return df.select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
-    low, high = low or 0, high or 0
-    ranges = min(MOST_RANGES, max(1, count // ROWS_PER_RANGE))
-    width = -(-(high - low + 1) // ranges)
+    cuts = []
+    if ranges > 1:
+        parts = numbers(i / ranges for i in range(1, ranges))
+        found = df.agg(F.percentile_approx(value, parts, 10 * ranges)).first()[0]
+        cuts = sorted(set(found or []), reverse=True)
     # the highest ids are in range 0; null ids have the last range for themselves
-    place = F.coalesce(F.floor((F.lit(high) - F.col("doc_id")) / width), F.lit(ranges)).cast("int")
+    above = F.lit(0)
+    if cuts:  # how many cuts lie above an id, found in two steps
+        coarse = F.size(F.filter(numbers(cuts[STEP - 1 :: STEP]), lambda c: c > value))
+        near = F.slice(numbers(cuts), coarse * STEP + 1, F.lit(STEP))
+        above = coarse * STEP + F.size(F.filter(near, lambda c: c > value))
+    place = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above).cast("int")
     placed = df.withColumn("_range", place)
     ends = placed.groupBy("_range").agg(F.max("doc_id").alias("_head"))
     across = Window.orderBy("_range")  # MOST_RANGES rows

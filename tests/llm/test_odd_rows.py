@@ -1,5 +1,6 @@
 """Every operator and stage on nulls in all columns, empty tables and clashing names."""
 
+import hashlib
 import re
 from pathlib import Path
 
@@ -178,3 +179,18 @@ def test_stages(spark, docs):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
         rows = stage(spark, rows, FOLDER).cache()
         rows.count()
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_next_documents_of_wide_and_textual_ids(spark, monkeypatch, kind):
+    ids = [-(2**63), 2**63 - 1, 0, 1, 2**62, -5, *range(10**15, 10**15 + 40), *range(60)]
+    ids = sorted(set(ids if kind == "long" else map(str, ids)), reverse=True)
+    texts = [f"text number {i} " * (1 + n % 3) for n, i in enumerate(ids)]
+    monkeypatch.setattr(spots, "ROWS_PER_RANGE", 4)
+    monkeypatch.setattr(spots, "STEP", 3)
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), f"doc_id {kind}, text string")
+    found = {r.doc_id: r.edited_sha256 for r in spots.fingerprints(docs.repartition(3)).collect()}
+    for i, (doc_id, text) in enumerate(zip(ids, texts, strict=True)):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + texts[(i + 1) % len(ids)][:half]
+        assert found[doc_id] == hashlib.sha256(edited.encode()).hexdigest()

@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from ledgerlake.llm import archive, html
+from ledgerlake.llm import archive, html, language
 
 SCHEMA = "page_id long, url string, html string, digest string, path string, text string"
 BODY = "<p>" + "x" * 120 + "</p>\r\n\r\nWARC/1.1\r\n"
@@ -173,3 +173,38 @@ def test_minimum_cut_is_minimal():
 
         best = min(cost(x) for x in itertools.product([True, False], repeat=size))
         assert abs(cost(html.minimum_cut(gains, edges)) - best) < 1e-6
+
+
+def test_landmark_roles_weigh_like_their_elements():
+    body = "<article><p>" + "A long sentence of the article itself, with many words in it. " * 4
+    for role in ("complementary", "contentinfo", "search", "banner", "navigation", "form"):
+        page = f"<html><body>{body}</p></article><div role='{role}'><p>Text of a part.</p></div>"
+        assert "Text of a part" not in html.main_text(page), role
+    assert "Text of a part" in html.main_text(f"{body}</p><div role='presentation'><p>Text of a part.")
+
+
+def test_long_pages_take_little_time():
+    import time
+
+    block = "<p>" + "Words of a paragraph that belongs here. " * 6 + "</p><nav><a href=x>Menu</a></nav>"
+    start = time.perf_counter()
+    text = html.main_text("<html><body><div>" + block * 10_000)
+    assert time.perf_counter() - start < 20 and text.count("\n") == 9_999 and "Menu" not in text
+    start = time.perf_counter()
+    html.main_text("<b>" * 8000 + "</i>" * 8000 + "text")
+    assert time.perf_counter() - start < 5
+
+
+def test_a_page_may_be_named_like_a_version_block(spark):
+    rows = [(1, "filedesc://x.arc", "<p>one</p>" * 30), (2, "http://b/", "<p>one</p>" * 30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.record_type for r in archive.archive_pages(pages).collect()}
+    assert found == {1: "response", 2: "revisit"}
+
+
+def test_declared_language_of_markup():
+    assert language.declared("<html data-lang='fr'>") is None
+    assert language.declared("<!-- <html lang='fr'> --><html class=a lang='de-AT'>") == "de"
+    assert language.declared("<meta content='es' http-equiv='Content-Language'>") == "es"
+    assert language.declared("<html title='lang=fr' xml:lang=en>") == "en"
+    assert language.declared("<script>'<html lang=fr>'</script><html lang=''>") is None
