@@ -98,8 +98,8 @@ def traded_value_by_month(
         **(extra_dims or {}),
     }
     # summed per key first: a security with much of the fact reaches the join as a row a day
-    own = [c for c in extra if c in fact.columns]
-    sums = fact.groupBy(*dims, "trade_type", *own).agg(
+    own = [c for c in dict.fromkeys([*dims, *extra]) if c in fact.columns]
+    sums = fact.groupBy(*own, "trade_type").agg(
         F.sum("trade_value").alias("_value"), F.count("*").alias("_rows")
     )
     groups = star_join(sums, dims).groupBy("month_name", "year", "asset_class", "trade_type", *extra)
