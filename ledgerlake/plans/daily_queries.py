@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.operators import gold, history, joins, security, sketches, upsert
 from ledgerlake.operators.conform import BLOTTER_TIES
-from ledgerlake.plans import incremental, medallion
+from ledgerlake.plans import incremental, medallion, procedure
 from ledgerlake.plans.blotter import FIRST_BATCH, LOAD_DATE, SECOND_BATCH, Blotter
 from ledgerlake.plans.queries import (
     HISTORY_COLUMNS,
@@ -349,3 +349,38 @@ def _(b: Blotter):
     path = f"{folder}/seen"
     sinks.write_parquet(gold.totals(seen, ["trade_type"]), path)
     return files.read_parquet(b.spark, path)
+
+
+@query(
+    "window_procedure",
+    "bronze_trades",
+    "silver_trades",
+    sql="""select cast(d as varchar) as window_date,
+                  (select count(*) from bronze_trades where trade_date = d) as bronze_row_count,
+                  (select count(*) from silver_trades where trade_date = d) as silver_row_count,
+                  (select cast(sum(trade_value) as double) from silver_trades where trade_date = d)
+                      as total_trade_value
+           from (select distinct cast(o_orderdate as date) as d from orders
+                 order by d desc limit 3) as days""",
+)
+def _(b: Blotter):
+    """The last three windows, loaded by the SQL procedure, one of them twice."""
+    folder = work_folder(b.spark, "procedure")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    sinks.publish_version(b.spark, b.bronze(), f"{name}_bronze", f"{folder}/bronze")
+    procedure.create_silver(b.spark, f"{name}_silver", f"{folder}/silver")
+    ordered = b.table("orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    days = [r[0] for r in ordered.orderBy(F.desc("d")).limit(3).collect()]
+    told = {}
+    for day in [days[0], *days]:
+        done = procedure.call_window(
+            b.spark, f"{name}_bronze", f"{name}_silver", day, LOADED_AT
+        )
+        told[day] = tuple(done.first())
+    schema = "window_date string, bronze_row_count bigint, silver_row_count bigint"
+    summary = b.spark.createDataFrame(list(told.values()), schema)
+    silver = b.spark.table(f"{name}_silver").groupBy(
+        F.col("trade_date").cast("string").alias("window_date")
+    )
+    values = silver.agg(gold.total_of("trade_value").alias("total_trade_value"))
+    return summary.join(values, "window_date", "left")

@@ -174,6 +174,27 @@ def test_a_load_that_stops_before_gold_is_repeated(spark, rows, monkeypatch):
     assert rows(incremental.read_gold(spark, path)) == rows(gold_of(spark, lake))
 
 
+def test_the_sql_procedure_does_what_the_window_load_does(spark, rows, tmp_path):
+    from ledgerlake.plans import procedure, windows
+
+    feed = [
+        *SEED,
+        (100001, "2026-05-04", 9, 9, "SELL", "7", "10", "2026-05-04 20:00:00"),
+        (100003, "2026-05-01", 3, 2, "BUY", "-1", "98.75", "2026-05-01 12:00:00"),
+    ]
+    sinks.publish_version(spark, trades(spark, feed), "proc_bronze", str(tmp_path / "b"))
+    procedure.create_silver(spark, "proc_silver", str(tmp_path / "s"))
+    silver, bronze = str(tmp_path / "w" / "silver"), trades(spark, feed)
+    for day in ("2026-05-01", "2026-05-04", "2026-05-04", "2026-05-09"):
+        told = procedure.call_window(spark, "proc_bronze", "proc_silver", day, NOW).first()
+        assert told.asDict() == windows.transform_window(spark, bronze, silver, day, NOW)
+    from ledgerlake.schemas import SILVER
+
+    stored = spark.read.schema(SILVER).parquet(silver)
+    assert rows(spark.table("proc_silver"), *SILVER.names) == rows(stored, *SILVER.names)
+    spark.sql("DROP TABLE proc_silver")
+
+
 # --- checks while writing, versions ---------------------------------------------------
 
 
