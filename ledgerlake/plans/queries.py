@@ -117,20 +117,13 @@ def _(b: Blotter):
 @query(
     "staged_trades",
     "bronze_trades",
-    sql="""select trade_type, count(*) as n, cast(sum(quantity) as double) as quantity,
-                  cast(min(trade_date) as varchar) as first_date,
-                  cast(max(trade_date) as varchar) as last_date
-           from bronze_trades group by trade_type""",
+    sql=f"""select {SILVER_COLUMNS}, cast(last_modified_ts as varchar) as last_modified_ts
+           from bronze_trades""",
 )
 def _(b: Blotter):
+    """Every row, cell by cell, after a way through text."""
     text = b.bronze().select([F.col(c).cast("string").alias(c) for c in schemas.TRADES.names])
-    staged = columns.staged(text, schemas.TRADES, strict=False)
-    return staged.groupBy("trade_type").agg(
-        F.count("*").alias("n"),
-        gold.total_of("quantity").alias("quantity"),
-        F.min("trade_date").alias("first_date"),
-        F.max("trade_date").alias("last_date"),
-    )
+    return columns.staged(text, schemas.TRADES, strict=False)
 
 
 @query(
@@ -816,7 +809,8 @@ def _(b: Blotter):
     def first():
         return history.scd2_init(b.first_traders(), LOAD_DATE)
 
-    return catalog.read_or_init(b.spark, "gold_dim_trader_scd2", first)
+    name = work_folder(b.spark, "first_run").rsplit("/", 1)[-1].replace("-", "_")
+    return catalog.read_or_init(b.spark, name, first)
 
 
 @query(
@@ -1577,6 +1571,14 @@ ORDERS_AS_READ = """select o_orderstatus, count(*) as n,
     from orders group by o_orderstatus"""
 
 
+ORDERS_ROWS = """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    cast(cast(o_orderdate as date) as varchar) as o_orderdate, o_orderpriority from orders"""
+
+
+def _order_rows(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
 def _orders_by_status(orders: DataFrame) -> DataFrame:
     return orders.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"),
@@ -1618,11 +1620,11 @@ def _(b: Blotter):
     return _orders_by_status(files.read_parquet(b.spark, path))
 
 
-@query("roundtrip_clustered", sql=ORDERS_AS_READ)
+@query("roundtrip_clustered", sql=ORDERS_ROWS)
 def _(b: Blotter):
     path = work_folder(b.spark, "clustered")
     sinks.write_clustered(b.table("orders"), path, 8, "o_custkey")
-    return _orders_by_status(files.read_parquet(b.spark, path))
+    return _order_rows(files.read_parquet(b.spark, path))
 
 
 @query(
@@ -1637,7 +1639,7 @@ def _(b: Blotter):
     return stored.groupBy("LoadDate", "event_type").agg(F.count("*").alias("n"))
 
 
-@query("seed_table", sql=ORDERS_AS_READ)
+@query("seed_table", sql=ORDERS_ROWS)
 def _(b: Blotter):
     folder, orders = work_folder(b.spark, "seed"), b.table("orders")
     name = folder.rsplit("/", 1)[-1].replace("-", "_")
@@ -1645,16 +1647,16 @@ def _(b: Blotter):
     seed = catalog.load_seed(
         b.spark, f"{folder}/orders.csv", name, orders.schema, f"{folder}/table"
     )
-    return _orders_by_status(seed)
+    return _order_rows(seed)
 
 
-@query("bulk_loaded_table", sql=ORDERS_AS_READ)
+@query("bulk_loaded_table", sql=ORDERS_ROWS)
 def _(b: Blotter):
     folder, orders = work_folder(b.spark, "bulk"), b.table("orders")
     name = folder.rsplit("/", 1)[-1].replace("-", "_")
     sinks.write_csv(orders, f"{folder}/orders.csv")
     sinks.publish(b.spark, orders.where("false"), name, f"{folder}/table")
-    return _orders_by_status(catalog.bulk_load(b.spark, f"{folder}/orders.csv", name))
+    return _order_rows(catalog.bulk_load(b.spark, f"{folder}/orders.csv", name))
 
 
 @query(
@@ -1675,16 +1677,14 @@ def _(b: Blotter):
 @query(
     "stored_failures",
     "bronze_trades",
-    sql="""select trade_type, count(*) as failing from bronze_trades
-           where quantity <= 0 or price <= 0 group by trade_type""",
+    sql=f"""select {SILVER_COLUMNS} from bronze_trades where quantity <= 0 or price <= 0""",
 )
 def _(b: Blotter):
     folder = work_folder(b.spark, "failures")
     name = folder.rsplit("/", 1)[-1].replace("-", "_")
     bad = (F.col("quantity") <= 0) | (F.col("price") <= 0)
-    failing = quality.expression_check(b.bronze(), bad)
-    stored = sinks.store_failures(b.spark, failing, name, f"{folder}/table")
-    return stored.groupBy("trade_type").agg(F.count("*").alias("failing"))
+    failing = quality.expression_check(b.bronze(), bad).drop("last_modified_ts")
+    return sinks.store_failures(b.spark, failing, name, f"{folder}/table")
 
 
 @query(
