@@ -122,8 +122,10 @@ def pieces(docs: DataFrame, name: str = VOCABULARY, size: int = SEQUENCE) -> Dat
     )
 
 
-def exact_filling(have: np.ndarray, sums: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to the gap, the largest first.
+def exact_filling(
+    have: np.ndarray, sums: np.ndarray, gap: int, parts: int
+) -> tuple[int, ...] | None:
+    """That many available lengths, one to three, that sum to the gap, the largest first.
 
     ``sums[s]`` says that some pair summed to s when the index was made; availability
     only falls, so a stale entry is found out here and struck off.
@@ -140,10 +142,10 @@ def exact_filling(have: np.ndarray, sums: np.ndarray, gap: int) -> tuple[int, ..
         first = int(a[np.argmax(good)])
         return first, total - first
 
-    if have[gap] > 0:
-        return (gap,)
-    if found := pair(gap):
-        return found
+    if parts == 1:
+        return (gap,) if have[gap] > 0 else None
+    if parts == 2:
+        return pair(gap)
     a = np.arange(gap - 2, 0, -1)
     for first in a[(have[a] > 0) & sums[gap - a]]:
         have[first] -= 1
@@ -156,8 +158,20 @@ def exact_filling(have: np.ndarray, sums: np.ndarray, gap: int) -> tuple[int, ..
 
 
 def pack(counts: dict[int, int], size: int = SEQUENCE) -> tuple[np.ndarray, int]:
+    """The best of a few orders, by the number of sequences: exact fillings of up to three,
+    two, one and no other lengths before the rest goes by best fit. All from the counts."""
+    return min((filled(counts, size, most) for most in (3, 2, 1, 0)), key=lambda made: made[1])
+
+
+def filled(
+    counts: dict[int, int], size: int = SEQUENCE, most: int = 3
+) -> tuple[np.ndarray, int]:
     """Runs (length, first rank, count, first sequence, offset) for counted lengths, and
-    the number of sequences. Work and result depend on the number of lengths only."""
+    the number of sequences. Work and result depend on the number of lengths only.
+
+    All lengths are filled up by single ones first, then by pairs, then by triples: short
+    pieces are not spent on a long one while another long one has a complement of its own.
+    """
     have = np.zeros(size + 1, dtype=np.int64)
     for length, count in counts.items():
         have[length] = count
@@ -183,15 +197,16 @@ def pack(counts: dict[int, int], size: int = SEQUENCE) -> tuple[np.ndarray, int]
 
     if have[size]:
         open_with((size,), int(have[size]))
-    for length in range(size - 1, 0, -1):
-        while have[length] > 0:
-            have[length] -= 1
-            rest = exact_filling(have, sums, size - length)
-            have[length] += 1
-            if not rest:
-                break
-            needed = Counter((length, *rest))
-            open_with((length, *rest), min(int(have[x]) // n for x, n in needed.items()))
+    for parts in range(1, most + 1):
+        for length in range(size - 1, 0, -1):
+            while have[length] > 0:
+                have[length] -= 1
+                rest = exact_filling(have, sums, size - length, parts)
+                have[length] += 1
+                if not rest:
+                    break
+                needed = Counter((length, *rest))
+                open_with((length, *rest), min(int(have[x]) // n for x, n in needed.items()))
 
     open_gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> runs of open sequences
     gaps = np.zeros(size + 1, dtype=bool)

@@ -8,7 +8,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import language, quality, spots
+from ledgerlake.llm import language, packing, quality, spots
 from ledgerlake.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -174,3 +174,31 @@ def test_fusion_of_evidence(spark):
         mass = sum(math.exp(s - max(joint)) for s in joint)
         assert answer.confidence == pytest.approx(1 / mass, abs=2e-6)
         assert answer.lang == max(zip(joint, languages, strict=True))[1]
+
+
+# --- packing ----------------------------------------------------------------------------
+
+
+def plain_best_fit(lengths, size):
+    gaps = []
+    for length in sorted(lengths, reverse=True):
+        fit = [i for i, gap in enumerate(gaps) if gap >= length]
+        if fit:
+            gaps[min(fit, key=lambda i: gaps[i])] -= length
+        else:
+            gaps.append(size - length)
+    return len(gaps)
+
+
+def test_packing_is_no_worse_than_best_fit_alone():
+    draw = np.random.Generator(np.random.PCG64(8))
+    for lengths in (
+        draw.integers(1, 4097, 200),
+        draw.integers(1, 4097, 1500),
+        draw.integers(1000, 2500, 600),
+        np.minimum(4096, draw.geometric(1 / 900, 800)),
+    ):
+        counts = {int(k): int(v) for k, v in zip(*np.unique(lengths, return_counts=True), strict=True)}
+        runs, number = packing.pack(counts)
+        assert number <= plain_best_fit(lengths.tolist(), 4096)
+        assert sum(run[2] for run in runs) == len(lengths)
