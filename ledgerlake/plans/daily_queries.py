@@ -290,29 +290,29 @@ def _(b: Blotter):
 @query(
     "profile_from_sketches",
     sql="""
-    select * from (values ('l_orderkey'), ('l_partkey'), ('l_quantity'), ('l_shipmode')) as c(column_name),
+    select * from (values ('l_orderkey'), ('l_partkey'), ('l_quantity'), ('l_returnflag')) as c(column_name),
            (select count(*) as row_count, 0 as null_count, true as distinct_close,
                    true as median_close from lineitem) as t""",
 )
 def _(b: Blotter):
     """Sketches of every month, stored, merged, and held against exact figures."""
-    wanted = ["l_orderkey", "l_partkey", "l_quantity", "l_shipmode"]
+    wanted = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
     lines = b.table("lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
-    lines = lines.select("month", *[c for c in wanted if c in lines.columns])
+    lines = lines.select("month", *wanted)
     parts = stored_apart(b, sketches.part_profile(lines, ["month"], lines.columns[1:]))
     found = sketches.merged_profile(parts)
     exact = lines.agg(
         *[F.count_distinct(c).alias(f"distinct_{c}") for c in lines.columns[1:]],
-        *[F.percentile(c, 0.45).alias(f"low_{c}") for c in lines.columns[1:] if c != "l_shipmode"],
-        *[F.percentile(c, 0.55).alias(f"high_{c}") for c in lines.columns[1:] if c != "l_shipmode"],
+        *[F.percentile(c, 0.45).alias(f"low_{c}") for c in lines.columns[1:] if c != "l_returnflag"],
+        *[F.percentile(c, 0.55).alias(f"high_{c}") for c in lines.columns[1:] if c != "l_returnflag"],
     ).first()
     held = F.array(
         *(
             F.struct(
                 F.lit(c).alias("of"),
                 F.lit(exact[f"distinct_{c}"]).alias("n"),
-                F.lit(exact[f"low_{c}"] if c != "l_shipmode" else None).cast("double").alias("low"),
-                F.lit(exact[f"high_{c}"] if c != "l_shipmode" else None).cast("double").alias("high"),
+                F.lit(exact[f"low_{c}"] if c != "l_returnflag" else None).cast("double").alias("low"),
+                F.lit(exact[f"high_{c}"] if c != "l_returnflag" else None).cast("double").alias("high"),
             )
             for c in lines.columns[1:]
         )
