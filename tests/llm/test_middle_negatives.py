@@ -151,6 +151,45 @@ def test_negatives_of_odd_rows(spark):
     assert negatives.hard_negatives(frame.where("vec_id % 100 <> 0")).count() == 0
 
 
+def test_negatives_count_repeated_rows(spark, tmp_path, monkeypatch):
+    """Rows that are there several times are as many rows: the query's contract by index."""
+    draw = np.random.Generator(np.random.PCG64(8))
+    centres = draw.standard_normal((3, 12))
+    rows = []
+    for i in range(500):
+        v = centres[i % 3] + 0.6 * draw.standard_normal(12)
+        rows.append((i, [float(np.float32(x)) for x in v], int(draw.integers(0, 3))))
+    rows += [rows[i] for i in range(500) if i % 5 == 0 for _ in range(1 + i % 3)]  # anchors too
+    rows += [rows[7]] * 9
+    path = f"{tmp_path}/embeddings.parquet"
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    frame.write.parquet(path)
+    monkeypatch.setattr(negatives, "ROWS_PER_BLOCK", 128)
+    found = QUERIES["op13_negatives"](spark, str(tmp_path))
+
+    vectors = np.array([np.floor(256 * np.array(v)) for _, v, _ in rows]).astype(np.int64)
+    labels = [(n + 1) % 10 if i % 7 == 0 else n for i, _, n in rows]
+    expected = []
+    for a, (anchor, _, _) in enumerate(rows):
+        if anchor % 100:
+            continue
+        scores = (vectors @ vectors[a]).tolist()
+        order = sorted((-scores[j], rows[j][0], j) for j in range(len(rows)) if j != a)
+        positives = [j for *_, j in order if labels[j] == labels[a]][:5]
+        for j in positives:
+            fit = [
+                k
+                for *_, k in order
+                if labels[k] != labels[a] and 80 * scores[j] <= 100 * scores[k] <= 100 * scores[j]
+            ]
+            expected += [
+                (anchor, rows[j][0], n + 1, rows[k][0], scores[j], scores[k])
+                for n, k in enumerate(fit[:5])
+            ]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert len(set(expected)) < len(expected)
+
+
 def test_blocks_change_nothing(spark, monkeypatch):
     draw = np.random.Generator(np.random.PCG64(4))
     rows = [(i, [float(x) for x in draw.standard_normal(70)], i % 2) for i in range(600)]
