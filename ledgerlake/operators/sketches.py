@@ -1,10 +1,12 @@
-"""Profiles that add up: counts and sketches per part, stored and merged."""
+"""Profiles that add up: counts and sketches per part, stored and merged; exact figures."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,3 +70,44 @@ def merged_profile(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.hll_sketch_estimate("distinct_sketch").alias("distinct_estimate"),
         quantiles.alias("quantiles"),
     )
+
+
+def ranged_counts(df: DataFrame, column: str) -> DataFrame:
+    """value, n, part: how often a column's values are there, in parts of ascending ranges.
+
+    Counts merge before the shuffle and a part is as large as a shuffle partition, so no
+    task holds all values. To be stored: the parts' numbers hold for one run.
+    """
+    present = df.where(F.col(column).isNotNull())
+    counts = present.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    return counts.repartitionByRange("value").withColumn("part", F.spark_partition_id())
+
+
+def counted_figures(counts: DataFrame, shares: Sequence[float] = ()) -> tuple[int, list]:
+    """Number of distinct values and exact quantiles, from stored ``ranged_counts``.
+
+    The quantiles lie between neighbours as ``percentile`` has them. The driver gets a row
+    per part and a value per neighbour; only parts that hold one are ranked.
+    """
+    parts = counts.groupBy("part").agg(
+        F.min("value").alias("low"), F.count("*").alias("values"), F.sum("n").alias("n")
+    )
+    before, offsets = 0, {}
+    for row in parts.orderBy("low").collect():
+        offsets[row["part"]] = (before, before + row["n"])
+        before += row["n"]
+    distinct = parts.agg(F.sum("values")).first()[0] or 0
+    if not before or not shares:
+        return distinct, [None] * len(shares)
+    places = [share * (before - 1) for share in shares]
+    ranks = sorted({k for place in places for k in (math.floor(place), math.ceil(place))})
+    held = {p: o for p, o in offsets.items() if any(o[0] <= k < o[1] for k in ranks)}
+    up_to = F.sum("n").over(W.partitionBy("part").orderBy("value"))
+    first = F.coalesce(*(F.when(F.col("part") == p, F.lit(o[0])) for p, o in held.items()))
+    ranked = counts.where(F.col("part").isin(list(held))).withColumn("up_to", first + up_to)
+    at = ranked.agg(*(F.min(F.when(F.col("up_to") > k, F.col("value"))) for k in ranks)).first()
+    value = dict(zip(ranks, map(float, at), strict=True))
+    return distinct, [
+        value[math.floor(p)] + (p - math.floor(p)) * (value[math.ceil(p)] - value[math.floor(p)])
+        for p in places
+    ]

@@ -301,20 +301,19 @@ def _(b: Blotter):
     lines = lines.select("month", *wanted)
     parts = stored_apart(b, sketches.part_profile(lines, ["month"], lines.columns[1:]))
     found = sketches.merged_profile(parts)
-    exact = lines.agg(
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in lines.columns[1:]],
-        *[F.percentile(c, 0.45).alias(f"low_{c}") for c in lines.columns[1:] if c != "l_returnflag"],
-        *[F.percentile(c, 0.55).alias(f"high_{c}") for c in lines.columns[1:] if c != "l_returnflag"],
-    ).first()
+    exact = {}
+    for c in wanted:
+        counts = stored_apart(b, sketches.ranged_counts(lines, c))
+        exact[c] = sketches.counted_figures(counts, () if c == "l_returnflag" else (0.45, 0.55))
     held = F.array(
         *(
             F.struct(
                 F.lit(c).alias("of"),
-                F.lit(exact[f"distinct_{c}"]).alias("n"),
-                F.lit(exact[f"low_{c}"] if c != "l_returnflag" else None).cast("double").alias("low"),
-                F.lit(exact[f"high_{c}"] if c != "l_returnflag" else None).cast("double").alias("high"),
+                F.lit(n).cast("bigint").alias("n"),
+                F.lit(ends[0] if ends else None).cast("double").alias("low"),
+                F.lit(ends[1] if ends else None).cast("double").alias("high"),
             )
-            for c in lines.columns[1:]
+            for c, (n, ends) in exact.items()
         )
     )
     mine = F.filter(held, lambda e: e["of"] == F.col("column_name"))[0]

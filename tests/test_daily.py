@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from fixtures import JANUARY, SEED, traders, trades
 from ledgerlake.operators import history, joins, quality, security, sketches, upsert
 from ledgerlake.operators.gold import gold_daily
-from ledgerlake.plans import incremental, medallion
+from ledgerlake.plans import daily_queries, incremental, medallion  # noqa: F401
+from ledgerlake.plans.queries import QUERIES
 from ledgerlake.schemas import LOGINS, TRADERS
 from ledgerlake.session import work_folder
 from ledgerlake.sinks import tables as sinks
@@ -368,3 +369,25 @@ def test_arrivals_with_state(spark, rows, tmp_path):
     ]
     assert run() == (found, told)
     assert files.read_parquet(spark, f"{out}/rows").count() == 4
+
+
+def test_exact_figures_hold_no_column_in_one_buffer(spark, monkeypatch):
+    """Counts in ranges give what count_distinct and percentile give, and the query needs neither."""
+    rows = [(i * 37 % 101, None if i % 9 == 0 else float(i % 17) / 4, "abc"[i % 3]) for i in range(700)]
+    df = spark.createDataFrame(rows + [(None, None, None)], "a int, b double, c string")
+    shares = (0.0, 0.45, 0.5, 0.55, 1.0)
+    for column in ("a", "b"):
+        wanted = df.agg(F.count_distinct(column), *(F.percentile(column, s) for s in shares)).first()
+        n, found = sketches.counted_figures(sketches.ranged_counts(df, column).localCheckpoint(), shares)
+        assert n == wanted[0] and found == pytest.approx(list(wanted[1:]))
+    assert sketches.counted_figures(sketches.ranged_counts(df, "c").localCheckpoint()) == (3, [])
+    none = sketches.ranged_counts(df.limit(0), "a").localCheckpoint()
+    assert sketches.counted_figures(none, (0.5,)) == (0, [None])
+
+    def refuse(*_):
+        raise AssertionError("holds all values of a column at once")
+
+    monkeypatch.setattr(F, "percentile", refuse)
+    monkeypatch.setattr(F, "count_distinct", refuse)
+    found = QUERIES["profile_from_sketches"](spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == 4 and all(r.distinct_close and r.median_close for r in found)
