@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from fixtures import JANUARY, traders, trades
 from ledgerlake.functions import calendar
 from ledgerlake.operators import conform, gold, joins, measures, ranking, reconcile
+from ledgerlake.plans.blotter import Blotter
+from ledgerlake.plans.queries import QUERIES
+from ledgerlake.sinks import tables as sinks
 
 SECURITIES = [(1, "Equity"), (2, "Equity"), (3, "Fixed Income")]
 
@@ -178,3 +181,20 @@ def test_skewed_key_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def jobs_of(spark, monkeypatch, name):
+    """The query's rows, and how often Bronze was asked for on the way."""
+    steps, build = [], Blotter.bronze
+    write = sinks.write_parquet
+    monkeypatch.setattr(Blotter, "bronze", lambda b: steps.append("bronze") or build(b))
+    monkeypatch.setattr(sinks, "write_parquet", lambda *a: steps.append("stored") or write(*a))
+    result = QUERIES[name](spark, "/root/testdata/sf0.001")
+    return result, steps
+
+
+def test_control_total_computes_silver_once(spark, monkeypatch):
+    result, steps = jobs_of(spark, monkeypatch, "control_total")
+    assert steps == ["bronze", "stored", "stored"]  # Silver, then the total held against it
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "lineitem" not in plan
