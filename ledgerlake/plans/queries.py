@@ -7,8 +7,9 @@ text, missing text as 'none'. The operators themselves keep decimals, dates and
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -465,21 +466,29 @@ def _(b: Blotter):
 @query(
     "preview_rows",
     "silver_trades",
-    sql="""select least(count(*), 5) as n, true as all_known,
-                  least(count(*), 5) as n_different from silver_trades""",
-)
-def _(b: Blotter):
-    """Any five trades: how many they are, and whether each is a trade of Silver."""
-    silver = b.silver()
-    path = work_folder(b.spark, "preview")
-    sinks.write_parquet(ranking.preview(silver, 5).select("trade_id"), path)
-    found = files.read_parquet(b.spark, path)
-    known = joins.keep_keys(silver.select("trade_id"), found, ["trade_id"])
-    return found.agg(
+    sql="""select trade_id, trader_id, trade_type, n, all_known, n_different
+           from silver_trades,
+                (select least(count(*), 5) as n, true as all_known,
+                        least(count(*), 5) as n_different, max(trade_id) as last
+                 from silver_trades) as f
+           where trade_id = last""",
+)
+def _(b: Blotter):
+    """The trade with the highest number, next to any five trades: how many they are, and
+    whether each, with all its columns, is a trade of Silver."""
+    silver = stored_once(b, b.silver(), "preview-silver")
+    last = silver.agg(F.max("trade_id")).first()[0]
+    looked_up = ranking.preview(silver, 5, F.col("trade_id") == last)
+    found = stored_once(b, ranking.preview(silver, 5), "preview")
+    alike = reduce(Column.__and__, [silver[c].eqNullSafe(found[c]) for c in silver.columns])
+    known = silver.join(F.broadcast(found), alike, "left_semi")
+    counts = found.agg(
         F.count("*").alias("n"),
         (F.count("*") == F.lit(known.count())).alias("all_known"),
-        F.count_distinct("trade_id").alias("n_different"),
+        F.lit(found.distinct().count()).cast("bigint").alias("n_different"),
     )
+    rows = looked_up.select("trade_id", "trader_id", "trade_type")
+    return rows.crossJoin(F.broadcast(counts))
 
 
 @query(

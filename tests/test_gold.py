@@ -198,3 +198,10 @@ def test_control_total_computes_silver_once(spark, monkeypatch):
     assert steps == ["bronze", "stored", "stored"]  # Silver, then the total held against it
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Window" not in plan and "lineitem" not in plan
+
+
+def test_preview_shows_the_trade_it_looked_up(spark, monkeypatch):
+    silver = Blotter(spark, "/root/testdata/sf0.001").silver()
+    last = silver.orderBy(F.desc("trade_id")).select("trade_id", "trader_id", "trade_type").first()
+    result, _ = jobs_of(spark, monkeypatch, "preview_rows")
+    assert [tuple(r) for r in result.collect()] == [(*last, 5, True, 5)]
