@@ -131,14 +131,16 @@ def upsert_partitions(
     and with Bloom filters on it. Rows without a partition value have a folder too. A
     matched row stays in its folder, so the partition column cannot be updated. A key that
     is missing or there twice in the source fails the run before anything is replaced.
-    ``touched`` saves looking where ``touched_partitions`` was asked already.
+    ``touched`` saves looking where ``touched_partitions`` was asked already; the source is
+    then read once and not kept.
     """
     if partition in update_cols:
         raise ValueError(f"{partition} decides the folder of a row and cannot be updated")
     target = read_or_create(spark, path, source.schema, partition)
-    source = source.persist()
+    values = touched
+    if values is None:
+        source = source.persist()
     try:
-        values = touched
         if values is None:
             values = touched_partitions(target, source, keys, partition)
         if values:

@@ -20,7 +20,7 @@ from ledgerlake.operators.conform import (
 from ledgerlake.operators.upsert import upsert_partitions
 from ledgerlake.schemas import SILVER, TRADES
 from ledgerlake.sinks.tables import write_partitioned, write_window
-from ledgerlake.sources.files import extract_window, read_window
+from ledgerlake.sources.files import extract_window, read_or_create, read_window
 
 UPDATED = ("quantity", "price", "trade_value", "silver_loaded_ts")
 
@@ -91,7 +91,11 @@ def load_windows(
     bronze = spark.read.parquet(f"{lake}/bronze/trades").where(F.col("window_date").isin(days))
     loaded = backfill(bronze, now).select(*SILVER.names)
     table = f"{lake}/silver_table/trades"
-    upsert_partitions(spark, table, loaded, ["trade_id"], UPDATED, "trade_date")
+    # a first load meets no known trade: its rows lie in the folders of its dates
+    first = read_or_create(spark, table, loaded.schema, "trade_date").isEmpty()
+    upsert_partitions(
+        spark, table, loaded, ["trade_id"], UPDATED, "trade_date", days if first else None
+    )
     silver = spark.read.schema(SILVER).parquet(table).where(wanted)
     silver = silver.withColumn("window_date", F.col("trade_date"))
     write_partitioned(silver, f"{lake}/silver/trades", "window_date")

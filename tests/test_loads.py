@@ -313,3 +313,17 @@ def test_a_stop_between_renames_loses_nothing(spark):
     sinks.publish(spark, spark.range(5).toDF("id"), "renamed_halfway")
     assert spark.table("renamed_halfway").count() == 5
     spark.sql("DROP TABLE renamed_halfway")
+
+
+def test_first_load_reads_its_source_once(spark, rows, tmp_path, monkeypatch):
+    """No known keys are looked for in an empty table; a second load finds them again."""
+    looked, look = [], upsert.touched_partitions
+    monkeypatch.setattr(upsert, "touched_partitions", lambda *a: looked.append(1) or look(*a))
+    day = date(2024, 1, 2)
+    source = trades(spark, [(1, "2024-01-02", 7, 8, "BUY", "3", "2", "2024-01-02 10:00:00")])
+    lake = str(tmp_path / "lake")
+    for times in (0, 1):
+        done = windows.load_windows(spark, source, lake, [day], NOW)
+        assert rows(done) == [("2024-01-02", 1, 1)]
+        assert len(looked) == times
+        assert spark.read.parquet(f"{lake}/silver/trades").count() == 1
