@@ -10,20 +10,23 @@ counters of the retained values, MOST_COUNTERS at most; a wrong count costs time
 nothing. Lists are worked off in two rounds:
 
 1. every document against one member of each of its lists;
-2. pairs of list members that the links so far leave in different components, each pair in
-   the list that completes its overlap.
+2. pairs of list members that the links so far leave in different components.
 
 A group of near-copies, however large, falls together in the first round, so its members
-are never paired with each other. A pair is looked at if the sizes and the places of the
-shared value allow the similarity, passes if the sketch of the union says so, and counts
-if the full sets confirm it.
+are never paired with each other. Variants of one text that are too far from each other to
+be links do meet, all with all. So a member brings a code of 1,024 parities of its set to
+its lists, and the join itself drops pairs whose codes differ in more places than the sets of a
+link can: nothing is stored or shuffled for those. A pair is looked at if the sizes and
+the codes allow the similarity, passes if the sketch of the union says so, and counts if
+the full sets confirm it.
 
 Sketches and sets are made from the texts wherever they are needed and never stored: they
 are larger than the texts.
 
 What is left to chance: for sets above KEEP (in the estimate ESTIMATE) values, a pair at
 exactly the threshold is missed with a probability below 1e-7, for six standard deviations
-are allowed for. Shingles are 64-bit hashes.
+are allowed for. The same holds for codes of sets above CODED values, which cover a sample;
+codes of smaller sets lose nothing. Shingles are 64-bit hashes.
 
 Defined cases: null and empty texts, and those without a word, have no shingles and are
 linked with nothing. Texts of fewer words than a shingle are one shingle, the whole
@@ -57,6 +60,8 @@ PERCENT = 80
 KEEP = 512
 ESTIMATE = 128
 OVERLAP = 4  # lists that two documents share before they are looked at
+CODED = 1024  # values that a code covers at most; also its bits, 64 in a column
+CODE = [f"code{i}" for i in range(CODED // 64)]
 MOST_COUNTERS = 1 << 24
 COUNTER_PART = 1 << 12
 PART = 1 << 22  # bytes hashed at a time
@@ -139,24 +144,51 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), whole("text").alias("text"))
 
 
+def code_level(n: int) -> int:
+    """A code covers one in 2^level of a set's values, so that CODED are enough."""
+    return max(0, (n - 1) // CODED).bit_length()
+
+
+def parities(values: np.ndarray) -> bytes:
+    """The code of an ascending set: whether 1,024 bins hold odd numbers of its values.
+
+    Codes of two sets differ in no more places than the sets have values of their own. The
+    first half is of the upper half of the values covered, the second of the lower, those
+    that the next level covers; so the halves of a set, taken as one by exclusive or, meet
+    the second half of a set one level below.
+    """
+    half = 1 << (63 - code_level(len(values)))
+    ends = np.array([half - 1, 2 * half - 1], dtype=np.uint64)
+    lower, covered = np.searchsorted(values, ends)
+    bins = (values[:covered] % np.uint64(CODED // 2)).astype(np.int64)
+    bins[:lower] += CODED // 2
+    return np.packbits(np.bincount(bins, minlength=CODED) & 1).tobytes()
+
+
 def digested(docs: DataFrame, words: int) -> DataFrame:
-    """Per row: doc_id, n (size of the set), and high and low, a digest of it."""
+    """Per row: doc_id, n (size of the set), high and low, a digest of it, and its code."""
 
     def read(batches):
         for batch in batches:
-            sizes, high, low = [], [], []
+            sizes, digests, codes = [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingle_set(text, words)
-                digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 sizes.append(len(values))
-                high.append(int.from_bytes(digest[:8], "little", signed=True))
-                low.append(int.from_bytes(digest[8:], "little", signed=True))
+                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+                codes.append(parities(values))
+            digest = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            code = np.frombuffer(b"".join(codes), dtype="<i8").reshape(-1, len(CODE))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (sizes, high, low))],
-                names=["doc_id", "n", "high", "low"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(sizes, pa.int64()),
+                    *(pa.array(np.ascontiguousarray(c)) for c in (*digest.T, *code.T)),
+                ],
+                names=["doc_id", "n", "high", "low", *CODE],
             )
 
-    return _texts(docs).mapInArrow(read, "doc_id long, n long, high long, low long")
+    schema = "doc_id long, n long, high long, low long"
+    return _texts(docs).mapInArrow(read, ", ".join([schema, *(f"{c} long" for c in CODE)]))
 
 
 def _first_sketches(batches, words: int, keep: int):
@@ -336,20 +368,52 @@ def needed():
     return F.least("x.least", "y.least", F.lit(OVERLAP))
 
 
-def reachable(percent: int, keep: int):
-    """Can x and y still share enough, if this list is the last of the needed ones?
+def level_of(n: str):
+    """``code_level`` of a column."""
+    more = F.floor((F.col(n) - 1) / CODED)
+    return F.when(more > 0, F.length(F.bin(more))).otherwise(0)
 
-    No more retained values are shared behind this one than either has left.
+
+def codes_allow(percent: int):
+    """Can x and y be similar enough, as far as their codes tell?
+
+    The sets of a link have few values of their own, and a sample of these is no larger but
+    for six standard deviations. A code that is missing, or of too far a level, tells nothing.
     """
-    n, m = F.col("x.n"), F.col("y.n")
-    rest = F.least(
-        F.least(n, F.lit(keep)) - F.col("x.place"), F.least(m, F.lit(keep)) - F.col("y.place")
+
+    def differing(x: list, y: list):
+        return sum(
+            (F.bit_count(a.bitwiseXOR(b)) for a, b in zip(x[1:], y[1:], strict=True)),
+            F.bit_count(x[0].bitwiseXOR(y[0])),
+        )
+
+    x, y = ([F.col(f"{side}.{c}") for c in CODE] for side in "xy")
+    half = len(CODE) // 2
+    x_next, y_next = (
+        [a.bitwiseXOR(b) for a, b in zip(c[:half], c[half:], strict=True)] for c in (x, y)
     )
-    both = rest + needed() - 1
-    whole_sets = F.greatest(n, m) <= keep  # then what is shared is known from the sizes
-    return F.when(whole_sets, both * (100 + percent) >= percent * (n + m)).otherwise(
-        both >= F.greatest("x.least", "y.least")
+    above = F.col("x.level") - F.col("y.level")
+    found = (
+        F.when(above == 0, differing(x, y))
+        .when(above == 1, differing(x_next, y[half:]))
+        .when(above == -1, differing(x[half:], y_next))
     )
+    own = F.floor((100 - percent) * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    share = F.pow(F.lit(0.5), F.greatest("x.level", "y.level"))
+    return F.coalesce(found <= own * share + 6 * F.sqrt(own * share * (1 - share)), F.lit(True))
+
+
+def shared_enough(met: DataFrame, of_needed) -> DataFrame:
+    """The pairs that met in as many lists as they must share."""
+    pairs = met.select(
+        F.least("x.doc", "y.doc").alias("a"),
+        F.greatest("x.doc", "y.doc").alias("b"),
+        needed().alias("needed"),
+    )
+    counts = pairs.groupBy("a", "b").agg(
+        F.count("*").alias("shared"), of_needed("needed").alias("needed")
+    )
+    return counts.where("shared >= needed").select("a", "b")
 
 
 def first_round(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -369,27 +433,20 @@ def first_round(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         & similar_sizes(percent)
         & (F.col("x.doc") != F.col("y.doc")),
     )
-    pairs = met.select(
-        F.least("x.doc", "y.doc").alias("a"),
-        F.greatest("x.doc", "y.doc").alias("b"),
-        needed().alias("needed"),
-    )
-    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("needed").alias("needed"))
-    return counts.where("shared >= needed").select("a", "b")
+    return shared_enough(met, F.max)
 
 
 def second_round(
-    lists: DataFrame, grouped: DataFrame, percent: int, keep: int, scratch: Scratch
+    lists: DataFrame, grouped: DataFrame, known: DataFrame, percent: int, scratch: Scratch
 ) -> DataFrame:
-    """Pairs of list members in different components, once each.
+    """Pairs of list members in different components that share enough lists, once each.
 
-    Of a list's largest component, members are paired with others only. A pair is taken
-    in the list that completes the number it must share: ``earlier`` holds a member's
-    lists before this one, no more than a sketch has values.
+    Of a list's largest component, members are paired with others only. An id with
+    several sets has no code.
     """
     owned = scratch.stored(
         lists.join(grouped, F.col("doc") == F.col("node"), "left").select(
-            "value", "doc", "place", "n", "least", F.coalesce("component", "doc").alias("component")
+            "value", "doc", "n", "least", F.coalesce("component", "doc").alias("component")
         ),
         "minhash-owned",
     )
@@ -405,21 +462,20 @@ def second_round(
         .select(F.col("value").alias("open_value"), F.col("largest.component").alias("largest")),
         "minhash-open",
     )
-    member = owned.join(open_lists, F.col("value") == F.col("open_value")).drop("open_value")
-    own = F.sort_array(F.collect_list(F.struct("place", "value", "largest")))
+    single = (F.min("high") == F.max("high")) & (F.min("low") == F.max("low"))
+    codes = known.groupBy(F.col("doc_id").alias("coded")).agg(
+        *(F.when(single, F.min(c)).alias(c) for c in CODE)
+    )
     member = (
-        member.groupBy("doc", "n", "least", "component")
-        .agg(own.alias("own"))
-        .select("*", F.posexplode("own").alias("nth", "at"))
-        .where(F.col("nth") + 1 >= F.least("least", F.lit(OVERLAP)))  # fewer complete nothing
-        .select(
-            "doc",
-            "n",
-            "least",
-            "component",
-            "at.*",
-            F.slice("own.value", F.lit(1), F.col("nth")).alias("earlier"),
-        )
+        owned.join(open_lists, F.col("value") == F.col("open_value"))
+        .groupBy("doc", "n", "least", "component")
+        .agg(F.collect_list(F.struct("value", "largest")).alias("own"))
+        .where(F.size("own") >= F.least("least", F.lit(OVERLAP)))  # fewer complete nothing
+        .join(codes, F.col("doc") == F.col("coded"))
+        .withColumn("level", level_of("n"))
+        .select("doc", "n", "least", "component", "level", *CODE, F.explode("own").alias("at"))
+        .select("*", "at.*")
+        .drop("at")
     )
     member = scratch.stored(member, "minhash-members")
     x, y = member.where("component <> largest").alias("x"), member.alias("y")
@@ -430,12 +486,9 @@ def second_round(
         & (F.col("x.component") != F.col("y.component"))
         & once
         & similar_sizes(percent)
-        & reachable(percent, keep)
-        & (F.size(F.array_intersect("x.earlier", "y.earlier")) == needed() - 1),
+        & codes_allow(percent),
     )
-    return met.select(
-        F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
-    ).distinct()
+    return shared_enough(met, F.min)
 
 
 def estimated(a: np.ndarray, b: np.ndarray, keep: int) -> float:
@@ -548,7 +601,7 @@ def near_groups(
     lists = inverted_lists(docs, first_ids, words, percent, keep, retained, scratch)
     tried = stored(first_round(lists, percent, scratch), "minhash-first-pairs")
     links = confirmed(docs, tried, words, percent)
-    rest = second_round(lists, components(links), percent, keep, scratch).join(
+    rest = second_round(lists, components(links), usable, percent, scratch).join(
         tried, ["a", "b"], "left_anti"
     )
     rest = stored(rest, "minhash-second-pairs")

@@ -99,6 +99,48 @@ def test_near_groups(docs, texts):
     assert minhash.near_groups(docs.limit(0), 4).count() == 0
 
 
+def test_far_variants_of_one_text_are_not_looked_at(spark, monkeypatch):
+    dice, words = random.Random(3), [f"w{i}" for i in range(400)]
+    rows = [
+        (i, " ".join(w if dice.random() > 0.043 else f"z{i}x{w}" for w in words))
+        for i in range(60)
+    ]
+    looked_at, confirmed = [], minhash.confirmed
+
+    def counting(docs, pairs, *rest):
+        looked_at.append(pairs.count())
+        return confirmed(docs, pairs, *rest)
+
+    monkeypatch.setattr(minhash, "confirmed", counting)
+    found = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    assert all(r.kept for r in found.collect())
+    assert looked_at[1] < 60  # of 1,770 pairs
+
+
+def test_codes_allow_links_of_all_sizes(spark):
+    rows = []
+    for i, (large, small) in enumerate(
+        [(5, 4), (100, 80), (1024, 1024), (1280, 1024), (1281, 1025), (2560, 2048), (3000, 2400)]
+    ):
+        words = [f"w{i}x{j}" for j in range(large + 3)]
+        far = [w if j % 9 else f"z{w}" for j, w in enumerate(words)]
+        rows += [(10 * i, words), (10 * i + 1, words[: small + 3]), (10 * i + 2, far)]
+    docs = [(i, " ".join(words)) for i, words in rows]
+    known = minhash.digested(spark.createDataFrame(docs, "doc_id long, text string"), 4)
+    known = known.withColumn("level", minhash.level_of("n")).cache()
+    levels = {r.n: r.level for r in known.collect()}
+    assert levels == {n: minhash.code_level(n) for n in levels}
+    assert [levels[n] for n in (4, 1024, 1025, 2048, 2560)] == [0, 0, 1, 1, 2]
+    pairs = known.alias("x").crossJoin(known.alias("y")).where("x.doc_id <> y.doc_id")
+    allowed = {
+        (r.a, r.b)
+        for r in pairs.where(minhash.codes_allow(80)).selectExpr("x.doc_id a", "y.doc_id b").collect()
+    }
+    for i in range(0, 70, 10):
+        assert {(i, i + 1), (i + 1, i)} <= allowed
+        assert not {(i, i + 2), (i + 2, i)} & allowed
+
+
 def test_word_hashes_do_not_depend_on_parts(monkeypatch):
     text = ODD[8][1] + " Ünï " + "x" * 500
     whole = minhash.word_hashes(text)
