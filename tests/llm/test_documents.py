@@ -100,7 +100,7 @@ def test_near_groups(docs, texts):
 
 
 def test_far_variants_of_one_text_are_not_looked_at(spark, monkeypatch):
-    dice, words = random.Random(3), [f"w{i}" for i in range(400)]
+    dice, words = random.Random(3), [f"w{i}" for i in range(900)]
     rows = [
         (i, " ".join(w if dice.random() > 0.043 else f"z{i}x{w}" for w in words))
         for i in range(60)
